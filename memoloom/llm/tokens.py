@@ -75,7 +75,7 @@ def _span(text: str, no: int, chunk: int, overlap: int) -> str | None:
 
 
 def encode_texts(
-    df: DataFrame, id_col: str, text_col: str, tokenizer: str = "byte_bpe_50k", folder: str = FOLDER, chunk: int = 65_536, overlap: int = 4_096
+    df: DataFrame, id_col: str, text_col: str, tokenizer: str = "byte_bpe_50k", folder: str = FOLDER, chunk: int = 8_192, overlap: int = 1_024
 ) -> DataFrame:
     """``id_col`` and ``ids``, the token ids of each text, without special tokens.
 
