@@ -70,7 +70,7 @@ def top_of_windows(x: np.ndarray, vid: np.ndarray, k: int, window: int, least: f
     return np.concatenate(out_a), np.concatenate(out_b), np.concatenate(out_s)
 
 
-def nearest(vectors: Vectors, k: int = 5, least: float = -1.0, curves: int = 8, dims: int = 8, bits: int = 7, window: int = 64, part_rows: int = 8_192, seed: int = 20260420) -> DataFrame:
+def nearest(vectors: Vectors, k: int = 5, least: float = -1.0, curves: int = 12, dims: int = 8, bits: int = 7, window: int = 256, part_rows: int = 8_192, seed: int = 20260420) -> DataFrame:
     """``vid``, ``rank``, ``neighbour`` and ``cosine``: the ``k`` most similar vectors of each, from ``least`` on.
 
     Each of ``curves`` orderings projects all vectors on ``dims`` random directions, scaled by the moments of
