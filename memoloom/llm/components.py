@@ -17,7 +17,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     The number of rounds grows with the logarithm of the longest path. Self links and repeated edges are
     harmless, nulls are dropped, no edges give no rows.
     """
-    edges = edges.where(F.col("a").isNotNull() & F.col("b").isNotNull()).select("a", "b")
+    edges = cut(edges.where(F.col("a").isNotNull() & F.col("b").isNotNull()).select("a", "b"))
     nodes = edges.select(F.col("a").alias("node")).unionAll(edges.select(F.col("b").alias("node"))).distinct()
     links = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
     before = None

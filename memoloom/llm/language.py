@@ -17,7 +17,7 @@ from .common import WORD, col, fold, mix
 #: log2 of the cells of hashed n-grams; lengths of the blended spectrum.
 GRAM_BITS, LENGTHS = 18, (1, 2, 3, 4, 5)
 #: Cost of another language at the next word, within a sentence and between two, in units of a word's mean lead.
-WITHIN, BETWEEN = 9.0, 4.0
+WITHIN, BETWEEN = 9.0, 2.5
 #: Fewest words of a stretch; characters, in a language that is written without spaces between words.
 MIN_WORDS, MIN_CHARS, UNSPACED = 6, 20, {"ja", "zh", "th"}
 _TOKEN = re.compile(r"[^\W_]+|[.!?。！？…\n\r/|;]|--")
@@ -56,14 +56,17 @@ class Model:
     scale: float
 
     def of_words(self, found: list[str]) -> np.ndarray:
-        """Scores (words, languages) of words; codes and numbers have none."""
+        """Scores (words, languages) of words; codes and numbers have none, and words of which few n-grams are
+        known, such as names, have little."""
         out = np.zeros((len(found), len(self.langs)), np.float32)
         kept = [i for i, w in enumerate(found) if w.isalpha() or not w.isascii()]
         for at in range(0, len(kept), 20_000):
             part = kept[at : at + 20_000]
             w, c = grams([found[i] for i in part])
             if len(w):
-                out[part] = np.add.reduceat(self.weights[c], np.flatnonzero(np.r_[True, w[1:] != w[:-1]]), axis=0) * self.scale
+                first, v = np.flatnonzero(np.r_[True, w[1:] != w[:-1]]), self.weights[c]
+                share = np.add.reduceat(v.any(1), first, dtype=np.float32) / np.diff(np.r_[first, len(w)])
+                out[part] = np.add.reduceat(v, first, axis=0) * (share**2)[:, None] * self.scale
         return np.clip(out - out.mean(1, keepdims=True), -4, 4)
 
 
