@@ -185,7 +185,8 @@ def fit(sizes: np.ndarray, cells: np.ndarray, doc: np.ndarray, label: np.ndarray
     """A machine from units of labelled documents (``label``: 1, 0 or -1 for unknown, by document and kind).
 
     Terms in fewer than ``min_docs`` documents, names above all, are unknown here and later. The thresholds
-    are those of the best F1 where each half of the documents is scored by a machine of the other half.
+    are those of the best F1 where each half of the documents is scored by a machine of the other half, 0.5 at
+    least.
     """
     of = np.repeat(np.arange(len(sizes)), sizes)
     pairs = np.unique(doc[of].astype(np.int64) << TERM_BITS | cells)
@@ -224,7 +225,7 @@ def fit(sizes: np.ndarray, cells: np.ndarray, doc: np.ndarray, label: np.ndarray
         if len(s) and y.any():
             best = int(f1.argmax())
             low = s[order][best + 1] if best + 1 < len(s) else 0.0
-            m.threshold[k] = np.clip((s[order][best] + low) / 2, 0.02, 0.98)
+            m.threshold[k] = np.clip((s[order][best] + low) / 2, 0.5, 0.98)
     return m
 
 
