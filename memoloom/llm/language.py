@@ -101,7 +101,7 @@ def fit(texts: list[str], labels: list[str], landmarks: int = 30, most: int = 65
     langs = sorted(set(labels))
     pool: dict[str, list[list[str]]] = {x: [] for x in langs}
     for t, x in zip(texts, labels):
-        pool[x] += [s for s in _sentences(t) if sum(map(len, s)) >= 15]
+        pool[x] += [s for s in _sentences(t) if sum(map(len, s)) >= 10]
     data, y = [], []
     for k, x in enumerate(langs):
         take = rng.permutation(len(pool[x]))[:most]
@@ -292,7 +292,7 @@ def train(df: DataFrame, id_col: str, text_col: str, country_col: str, allowed:
     The sample is bounded by that parameter and the number of languages, and fixed by hashes of the ids.
     """
     single = allowed.groupBy("country").agg(F.min("lang").alias("lang"), F.count_distinct("lang").alias("n")).where("n = 1").select("country", "lang")
-    rows = df.where(F.length(col(text_col)) >= 60).select(F.upper(F.trim(col(country_col))).alias("country"), col(text_col).alias("text"), F.xxhash64(F.lit(11), col(id_col)).alias("h"))
+    rows = df.where(F.length(col(text_col)) >= 40).select(F.upper(F.trim(col(country_col))).alias("country"), col(text_col).alias("text"), F.xxhash64(F.lit(11), col(id_col)).alias("h"))
     order = Window.partitionBy("lang").orderBy("h", "text")
     sample = rows.join(F.broadcast(single), "country").select("lang", "h", "text").withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= per_language)
     got = sample.select("lang", "text").toPandas().sort_values(["lang", "text"])

@@ -86,9 +86,9 @@ def _filter(spark: SparkSession, seeds: DataFrame) -> np.ndarray:
     """A bitmap of the hashes; of the same size for any number of them."""
     cell = F.shiftrightunsigned("h", 67 - FILTER_BITS).cast("int")
     bit = F.expr(f"shiftleft(1, cast(shiftrightunsigned(h, {64 - FILTER_BITS}) & 7 as int))")
-    got = seeds.select(cell.alias("cell"), bit.alias("bit")).groupBy("cell").agg(F.bit_or("bit").alias("bits")).toPandas()
+    got = seeds.select(cell.alias("cell"), bit.alias("bit")).groupBy("cell").agg(F.bit_or("bit").alias("bits")).toArrow()
     out = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
-    out[got["cell"].to_numpy(np.int64)] = got["bits"].to_numpy(np.uint8)
+    out[got["cell"].to_numpy()] = got["bits"].to_numpy().astype(np.uint8)
     return out
 
 

@@ -54,7 +54,7 @@ def test_sample_is_exact_and_reports_deficits(spark):
     assert (r["b"]["needed"], r["b"]["observed"], r["b"]["deficit"]) == (2, 0, 2)
     assert r["c"]["needed"] == 1 and r["c"]["deficit"] == 1 and r["d"]["needed"] == 0
     assert 0.7 < r["a"]["acceptance"] < 0.9
-    assert sorted(s) == sorted(sampled(spark, rows[::-1], targets)[0])
+    assert sorted(map(str, s)) == sorted(map(str, sampled(spark, rows[::-1], targets)[0]))
     assert sampled(spark, [], targets)[0] == [] and sampled(spark, rows, [])[1] == {}
 
 
