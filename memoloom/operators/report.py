@@ -10,7 +10,6 @@ from ..functions.numbers import ratio
 from .rows import total_over
 
 KEYS = (*GROUP, *VERSION)
-_others = F.lower("pred_topic_type") == "others"
 
 
 def _is(kind: str) -> Column:
