@@ -77,7 +77,8 @@ def nearest(vectors: Vectors, k: int = 5, least: float = -1.0, curves: int = 12,
     the whole collection and shifted at random, and sorts them along a Hilbert curve. Spark range-partitions
     and sorts every ordering; a row meets those up to ``window`` places before and after it. The best of each
     ordering merge by vector, at most ``k`` rows from each, and rank by cosine in double precision, then by
-    the smaller vid. A curve of very many equal vectors is as long as any other part of it: no bucket grows.
+    the smaller vid. Very many equal vectors are as long a part of a curve as
+    any others, and split between tasks like these: no bucket grows.
 
     The result is approximate: a neighbour counts if some ordering brings it into the window. Every vector is
     indexed and asked for; none is its own neighbour. No vectors or a single one give no rows.
@@ -119,7 +120,7 @@ def nearest(vectors: Vectors, k: int = 5, least: float = -1.0, curves: int = 12,
 
     parts = curves * max(1, ceil(vectors.n / part_rows))
     keyed = vectors.rows.select("vid", "vec").mapInPandas(keys, "curve int, key long, vid long, vec array<float>")
-    ordered = keyed.repartitionByRange(parts, "curve", "key").sortWithinPartitions("curve", "key", "vid")
+    ordered = keyed.repartitionByRange(parts, "curve", "key", "vid").sortWithinPartitions("curve", "key", "vid")
     found = ordered.mapInPandas(meet, "vid long, neighbour long, cosine double")
     # By vector: at most k rows from each curve
     best = found.groupBy("vid").agg(F.slice(F.sort_array(F.collect_set(F.struct((-F.col("cosine")).alias("far"), "neighbour"))), 1, k).alias("best"))
