@@ -61,6 +61,25 @@ class RuleModel:
         return json.dumps({"pred_topic": best, "pred_topic_type": kind, "match_reason": f"closest name {best}"} if best else {"pred_topic": "", "pred_topic_type": "others", "match_reason": "no candidate"}, ensure_ascii=False)
 
 
+@dataclass(frozen=True)
+class TermModel:
+    """Stands in for a language model that designs a taxonomy: terms and topics are a group's frequent words."""
+
+    terms: int = 12
+
+    def complete(self, system: str, user: str, options: dict[str, Any]) -> str:
+        ask = json.loads(user)
+        counts: dict[str, int] = {}
+        for memo in ask["memos"]:
+            for w in set(re.findall(r"[^\W\d_]{4,}", memo.lower())):
+                counts[w] = counts.get(w, 0) + 1
+        best = sorted(counts, key=lambda w: (-counts[w], w))[: self.terms]
+        if ask["task"] == "profile":
+            return json.dumps({"overall_sentiment_terms": ["good", "great", "bad"], "feature_hint_terms": best, "reason_signal_terms": ["because"], "non_overall_examples": ask["memos"][:3]}, ensure_ascii=False)
+        topics = [{"topic": w, "description": f"memos about {w}", "representative_memos": [m for m in ask["memos"] if w in m.lower()][:2]} for w in best]
+        return json.dumps({"topics": topics}, ensure_ascii=False)
+
+
 _FENCE = re.compile(r"^\s*```[a-zA-Z]*\s*|\s*```\s*$")
 
 
@@ -179,3 +198,44 @@ def profile_terms(answer: dict[str, Any]) -> dict[str, list[str]]:
                 seen.setdefault(t.lower(), t)
         out[key] = list(seen.values())[:most]
     return out
+
+
+OVERALL = {1: "전반적 긍정", -1: "전반적 부정"}
+
+
+def prompt(task: str, group: tuple, memos: list[str], **more: Any) -> tuple[str, str]:
+    """Instruction and payload of a request about one group."""
+    return f"Design a {task} for one group of reviews. Answer in JSON.", json.dumps({"task": task, "group": list(map(str, group)), "memos": memos, **more}, ensure_ascii=False)
+
+
+def design_profiles(samples: DataFrame, model: TextModel) -> DataFrame:
+    """A rule profile of each group from its sampled memos (``memo``, ``prompt_rn``), one request a group.
+
+    Samples are small by construction (some hundred memos a group), so a group fits a task.
+    """
+
+    def run(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
+        memos = b.sort_values("prompt_rn")["memo"].tolist()
+        terms = profile_terms(complete_json(model, *prompt("profile", key, memos)))
+        row = dict(zip(GROUP, key)) | {"overall_topic_name": OVERALL.get(key[2], "전반적 평가")} | {f"{k}_json": json.dumps(v, ensure_ascii=False) for k, v in terms.items()}
+        return pd.DataFrame([row])
+
+    columns = "overall_topic_name string, overall_sentiment_terms_json string, feature_hint_terms_json string, reason_signal_terms_json string, non_overall_examples_json string"
+    return samples.groupBy(*GROUP).applyInPandas(run, f"cate_1_depth string, cate_2_depth string, sc_measurement int, {columns}")
+
+
+def design_pools(samples: DataFrame, model: TextModel, least: int = 7, most: int = 17) -> DataFrame:
+    """Topics of each group, the overall one first; a group whose answer stays out of bounds gives no rows but
+    the reason, in ``error``."""
+
+    def run(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
+        memos = b.sort_values("prompt_rn")["memo"].tolist()
+        try:
+            answer = complete_json(model, *prompt("topics", key, memos, min_topics=least, max_topics=most))
+            rows = topic_pool_rows(answer.get("topics") or [], OVERALL.get(key[2], "전반적 평가"), least, most)
+            out = [(*key, i, r["topic"], r["description"], json.dumps(r["representative_memos"], ensure_ascii=False), len(rows), None) for i, r in enumerate(rows, 1)]
+        except (ValueError, RuntimeError) as e:
+            out = [(*key, None, None, None, None, 0, str(e))]
+        return pd.DataFrame(out, columns=[*GROUP, "topic_order", "topic", "description", "representative_memos_json", "topic_count", "error"])
+
+    return samples.groupBy(*GROUP).applyInPandas(run, "cate_1_depth string, cate_2_depth string, sc_measurement int, topic_order int, topic string, description string, representative_memos_json string, topic_count int, error string")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.identity import GROUP, VERSION
 from ..functions.numbers import ratio
-from .rows import total_over
+from .rows import first_by, total_over
 
 KEYS = (*GROUP, *VERSION)
 
@@ -141,3 +141,21 @@ def repeats(df: DataFrame, n: int) -> DataFrame:
 
 def by(df: DataFrame, *keys: str, name: str = "cnt") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+
+
+def top_topics(df: DataFrame, n: int, keys: tuple[str, ...] = ("sc_measurement",)) -> DataFrame:
+    """The ``n`` most frequent topics of each key, ties by name."""
+    c = df.where("pred_topic is not null").groupBy(*keys, "pred_topic").agg(F.count(F.lit(1)).alias("row_cnt"))
+    return first_by(c, keys, [F.desc("row_cnt"), F.asc("pred_topic")], n, "rank")
+
+
+def kpis(df: DataFrame) -> DataFrame:
+    """Rows, rows without a topic, different memos and topics, in one row."""
+    return df.agg(F.count(F.lit(1)).alias("row_cnt"), F.count_if(_is("others")).alias("others_cnt"), F.count_distinct("memo_id").alias("memo_cnt"), F.count_distinct("pred_topic").alias("topic_cnt"))
+
+
+def reconciliation(detail: DataFrame, full: DataFrame) -> DataFrame:
+    """Rows and memos before and after the fan-out, and rows for each memo."""
+    a = detail.agg(F.count(F.lit(1)).alias("detail_rows"), F.count_distinct("memo_id").alias("detail_memos"))
+    b = full.agg(F.count(F.lit(1)).alias("full_rows"), F.count_distinct("memo_id").alias("full_memos"))
+    return a.join(b, F.lit(True)).withColumn("rows_per_memo", ratio(F.col("full_rows"), F.col("full_memos")))

@@ -146,6 +146,17 @@ SQL = {
         select d.detail_id, case when n.c < 10 and not coalesce(starts_with(d.pred_topic, 'Overall'), false) then 'Other' else d.pred_topic end as final_topic from classification_detail d join n on {_on('d', 'n', _G + ', pred_topic')}""",
     "a19_w15_distribution": _LABELS + """, n as (select cate_1_label, cate_2_label, sc_measurement, pred_topic, count(*) as row_cnt, count(distinct memo_id) as memo_cnt from d group by all)
         select *, cast(sum(row_cnt) over () as bigint) as all_cnt, row_cnt / sum(row_cnt) over () as row_ratio from n""",
+    "a20_reconciliation": _LATEST.replace("with n0", _RAW.strip() + ", n0", 1) + f""", det as (select * from latest qualify row_number() over (partition by {_G}, memo_id order by is_latest desc nulls last, created_at desc nulls last, run_id desc nulls last, detail_id nulls last) = 1),
+        full_ as (select memos.memo_id from memos join det using ({_G}, memo_id))
+        select *, full_rows / full_memos as rows_per_memo from (select count(*) as detail_rows, count(distinct memo_id) as detail_memos from det), (select count(*) as full_rows, count(distinct memo_id) as full_memos from full_)""",
+    "a23_kpis": f"select count(*) as row_cnt, {_IF(_OTHERS)} as others_cnt, count(distinct memo_id) as memo_cnt, count(distinct pred_topic) as topic_cnt from classification_detail",
+    "a23_top_topics": """with c as (select sc_measurement, pred_topic, count(*) as row_cnt from classification_detail where pred_topic is not null group by all)
+        select *, cast(row_number() over (partition by sc_measurement order by row_cnt desc, pred_topic) as integer) as "rank" from c qualify "rank" <= 25""",
+    "o6_review_list": _LATEST + f"""select detail_id, memo_norm from (select * from latest where review_needed_yn qualify row_number() over (partition by {_GV}, memo_id order by created_at desc nulls last, run_id desc nulls last, detail_id) = 1)
+        order by memo_norm nulls first, detail_id limit 300""",
+    "o7_pool_listing": """with m as (select cate_1_depth, cate_2_depth, min(cate_2_depth_kor) k2 from category_mapping group by all)
+        select coalesce(k2, p.cate_2_depth) as cate_2_label, sc_measurement, topic_order, topic from topic_pool p left join m using (cate_1_depth, cate_2_depth)
+        order by p.cate_1_depth nulls first, p.cate_2_depth nulls first, sc_measurement nulls first, topic_order nulls first, topic nulls first limit 500""",
     "a24_topic_options": f"select {_G}, array_to_string(list_sort(list(distinct topic)), '|') as topics from topic_pool group by all",
     "a25_repeats": f"select {_G}, memo_id, pred_topic, count(*) as row_cnt from classification_detail group by all order by row_cnt desc, {', '.join(c + ' nulls first' for c in _G.split(', '))}, memo_id nulls first, pred_topic nulls first limit 30",
     "a26_decisions": "select decision_status, approved_action, count(*) as cnt from review_decision group by all",

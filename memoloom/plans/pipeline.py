@@ -7,14 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..boundary import Encoder, TextModel, encode, model_fallback
+from ..boundary import Encoder, TextModel, design_pools, design_profiles, encode, model_fallback
 from ..config import Settings
 from ..functions.identity import GROUP, VERSION, with_memo_id
 from ..operators import joins, report
 from ..operators.classify import classify, rescue
 from ..operators.dims import profiles, topics
 from ..operators.rows import increment, latest
-from ..operators.sampling import dedupe_for_classification, hash_order_sample
+from ..operators.sampling import dedupe_for_classification, dedupe_for_sampling, diverse_sample, hash_order_sample, target_groups
 from ..operators.vectors import trusted
 from ..schemas import schema
 from ..sources.registry import eligible
@@ -78,6 +78,23 @@ def classify_all(store: Store, raw: DataFrame, profile: DataFrame, pool: DataFra
     return written
 
 
+def design_all(store: Store, raw: DataFrame, model: TextModel, settings: Settings, versions: dict[str, str], at: str, least: int = 7, most: int = 17) -> DataFrame:
+    """Profiles and topic pools of all groups that are large enough, stored by group and version.
+
+    Returns the groups whose pool stayed out of bounds, with the reason; they get no pool.
+    """
+    s = settings.sampling
+    memos = dedupe_for_sampling(with_memo_id(eligible(raw, s.excluded_prefix, s.sentiments, snippets=settings.source_filters)))
+    large = memos.join(target_groups(memos, s.min_group_size).select(*GROUP), list(GROUP), "left_semi")
+    samples = diverse_sample(large, s.max_prompt_rows, s.max_rule_sample_rows, s.design_seed).select(*GROUP, "memo", "prompt_rn")
+    stamp = {**{v: F.lit(versions.get(v)) for v in VERSION}, "run_id": F.lit(settings.run_id), "run_date": F.lit(settings.run_date), "created_at": F.lit(at), "created_by": F.lit("pipeline")}
+    store.write("rule_profile", design_profiles(samples, model).withColumns(stamp), "replace", KEY, schema("rule_profile"))
+    store.write("topic_pool_designed", design_pools(samples, model, least, most).withColumns(stamp), "replace", KEY)
+    made = store.read("topic_pool_designed")
+    store.write("topic_pool", made.where("error is null"), "replace", KEY, schema("topic_pool"))
+    return made.where("error is not null").select(*GROUP, "error")
+
+
 def expand_all(store: Store, raw: DataFrame, settings: Settings, at: str) -> dict[str, int]:
     """Fans the latest labels out to all raw rows and replaces their groups; returns counts that add up."""
     keyed = with_memo_id(raw)

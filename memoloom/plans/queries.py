@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..boundary import HashEncoder, RuleModel, encode, model_fallback
+from ..boundary import HashEncoder, RuleModel, TermModel, design_pools, design_profiles, encode, model_fallback
 from ..functions import text
 from ..functions.identity import GROUP, VERSION, memo_id, normalize_memo, sampling_key, surrogate_key, with_memo_id
 from ..operators import classify as cl
@@ -290,6 +290,34 @@ def w14_group_total(t):
     return rows.total_over(n, GROUP, "cnt", "group_total")
 
 
+@query
+def a20_reconciliation(t):
+    detail = rows.latest(t.latest, [*GROUP, "memo_id"], ["is_latest", "created_at", "run_id"], ["detail_id"])
+    return report.reconciliation(detail, joins.expand(t.memos, detail))
+
+
+@query
+def a23_kpis(t):
+    return report.kpis(t.detail)
+
+
+@query
+def a23_top_topics(t):
+    return report.top_topics(t.detail, 25)
+
+
+@query
+def o7_pool_listing(t):
+    p = joins.with_category_labels(t.pool, t.r.read("category_mapping"))
+    return report.top(p, 500, *[F.asc_nulls_first(c) for c in (*GROUP, "topic_order", "topic")]).select("cate_2_label", "sc_measurement", "topic_order", "topic")
+
+
+@query
+def o6_review_list(t):
+    d = rows.latest(t.latest.where("review_needed_yn"), [*GV, "memo_id"], ["created_at", "run_id"], ["detail_id"])
+    return report.top(d, 300, F.asc_nulls_first("memo_norm"), F.asc("detail_id")).select("detail_id", "memo_norm")
+
+
 # Joins and set operations
 
 
@@ -411,6 +439,22 @@ def e1_encode(t):
     return encode(d, HashEncoder()).select("memo_id", "embedding_model", "embedding_dim", F.size("embedding").alias("n"))
 
 
+def _samples(t):
+    m = sampling.dedupe_for_sampling(t.memos, "detail_id")
+    large = m.join(sampling.target_groups(m, 20).select(*GROUP), list(GROUP), "left_semi")
+    return sampling.diverse_sample(large, 200, 800, SEED).select(*GROUP, "memo", "prompt_rn")
+
+
+@query
+def l6_profiles(t):
+    return design_profiles(_samples(t), TermModel())
+
+
+@query
+def l7_pools(t):
+    return design_pools(_samples(t), TermModel())
+
+
 # Classification and review
 
 

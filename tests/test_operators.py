@@ -216,6 +216,17 @@ def test_pipeline_resumes(spark, store, data):
     assert pipeline.attempts(lambda: 5) == 5
 
 
+def test_design(spark, store, data):
+    raw = Tables(spark, data).raw
+    s = Settings().updated({"sampling": {"min_group_size": 3}})
+    left = pipeline.design_all(store, raw, boundary.TermModel(), s, dict.fromkeys(VERSION, "v"), "now", least=5)
+    made = store.read("topic_pool")
+    n = made.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("n"), F.max("topic_count").alias("c"))
+    assert n.count() > 0 and n.where("n <> c or n < 5 or n > 17").count() == 0
+    assert left.join(n, list(GROUP), "left_semi").count() == 0
+    assert n.count() + left.count() == store.read("rule_profile").count()
+
+
 def test_steps_on_the_way_are_not_done(spark):
     rows_ = [("k", "p", "a", "b", 1, "rule_profile_done", "completed"), ("k", "p", "c", "d", 1, "group_done", "completed"), ("k", "p", "e", "f", 1, "group_failed", "failed"), ("k", "p", "e", "f", 1, "group_failed", "failed")]
     progress = spark.createDataFrame(rows_, f"checkpoint_key string, pipeline_name string, {G}, step string, status string")
