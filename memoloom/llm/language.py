@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, col, fold, mix
+from .common import col, fold, mix
 
 #: log2 of the cells of hashed n-grams; lengths of the blended spectrum.
 GRAM_BITS, LENGTHS = 18, (1, 2, 3, 4, 5)

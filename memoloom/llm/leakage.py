@@ -101,10 +101,11 @@ def leaks(docs: DataFrame, doc_id: str, doc_text: str, items: DataFrame, item_id
     only likely hits leave the scan, with their words; they are joined by hash, and each hit is verified word
     by word.
 
-    Returns one row a pair: ``exact_words``, the longest run of 13 or more words in common, else 0; ``matched``, the largest number of the 13 words that agree at a hit, so a pair
-    with ``exact_words`` below 13 holds a passage with substituted words; ``hits``, how many windows.
-    Pairs below ``min_match`` of the window are dropped. Null, empty and shorter texts have no windows.
-    Items with equal ids or texts are reported each; an empty table gives an empty result.
+    Returns one row a pair: ``exact_words``, the longest run of 13 or more words in common, else 0;
+    ``matched``, the largest number of the 13 words that agree at a hit, so a pair without exact words holds a
+    passage with substituted ones; ``hits``, how many windows of the item. Hits that agree in less than
+    ``min_match`` of the window don't count. Null, empty and shorter texts have no windows. Items of equal texts
+    are reported each, rows of equal ids as one; an empty table gives an empty result; other columns are ignored.
     """
     spark = docs.sparkSession
     item_rows = items.select(col(item_id).alias("_i"), col(item_text).alias("_t"))
