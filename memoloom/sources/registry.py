@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -65,7 +64,3 @@ def eligible(df: DataFrame, excluded_prefix: str = "***", sentiments: tuple[int,
     for s in snippets:
         out = out.where(F.expr(s))
     return out
-
-
-def env_path(name: str, default: str) -> str:
-    return os.environ.get(name, default)
