@@ -294,6 +294,8 @@ def test_languages(spark):
     assert {k: v[0] for k, v in got[103].items()} == {0: "en", 1: "ja", 2: "en"} or {k: v[0] for k, v in got[103].items()} == {0: "ja", 1: "ja", 2: "en"}
     assert not {104, 105, 106, 107} & set(got)
     assert got[108] == {0: ("en", True)} and got[109] == {0: ("en", True)}
+    assert language.languages(df.limit(0), "id", "memo", "country", allowed).count() == 0
+    assert language.languages(df, "id", "memo", "country", allowed.limit(0)).count() == 0
 
 
 # 6
