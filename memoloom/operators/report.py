@@ -67,7 +67,8 @@ def new_topic_candidates(df: DataFrame, min_count: int, min_ratio: float, min_di
         F.count(F.lit(1)).alias("candidate_cnt"),
         F.count_distinct("memo_id").alias("distinct_memo_id_cnt"),
         F.min("memo").alias("sample_memo"),
-        F.sort_array(F.collect_set("match_reason")).alias("reasons"),
+        F.min("match_reason").alias("sample_reason"),
+        F.count_distinct("match_reason").alias("reason_cnt"),
     )
     found = total_over(found, keys, "candidate_cnt", "others_cnt")
     found = found.withColumn("candidate_ratio", ratio(F.col("candidate_cnt"), F.col("others_cnt")))
