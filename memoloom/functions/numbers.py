@@ -23,5 +23,5 @@ def norm(a: Column) -> Column:
 
 def unit(a: Column) -> Column:
     """A vector of length one; null elements for a vector of zeros."""
-    n = F.nullif(norm(a), F.lit(0.0))
-    return F.transform(a, lambda x: x.cast("double") / n)
+    n = F.array(F.nullif(norm(a), F.lit(0.0)))  # in an array of one, so that it is computed once
+    return F.element_at(F.transform(n, lambda k: F.transform(a, lambda x: x.cast("double") / k)), 1)

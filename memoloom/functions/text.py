@@ -31,9 +31,23 @@ def term_list(terms: Column, most: int) -> Column:
     return F.slice(F.transform(first, lambda s: s["t"]), 1, most)
 
 
+def low_terms(terms: Column) -> Column:
+    """Terms in lower case and cleaned, blanks dropped: what the tests below compare with.
+
+    Lambdas evaluate what they close over for every element, so terms and texts should be prepared as columns
+    below a join; the functions that take raw terms prepare them on the spot.
+    """
+    return F.filter(F.transform(terms, lambda t: F.lower(clean(t))), lambda t: t != "")
+
+
 def contains_any(x: Column, terms: Column) -> Column:
     """Whether any non-blank term is a substring, without case."""
-    return F.exists(terms, lambda t: (clean(t) != "") & F.contains(F.lower(clean(x)), F.lower(t)))
+    return has_any(F.lower(clean(x)), low_terms(terms))
+
+
+def has_any(low: Column, terms: Column) -> Column:
+    """The same for a text and terms that are prepared."""
+    return F.exists(terms, lambda t: F.contains(low, t))
 
 
 def phrase(x: Column) -> Column:
@@ -41,57 +55,74 @@ def phrase(x: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(clean(x)), _JOIN, " "))
 
 
+def spaced(words: Column) -> Column:
+    """A phrase with a space of its own on either side of each word, so that matches never share one."""
+    return F.concat(F.lit(" "), F.replace(words, F.lit(" "), F.lit("  ")), F.lit(" "))
+
+
 def phrases(terms: Column) -> Column:
-    """Terms as phrases, the longest first, blanks dropped."""
+    """Terms as spaced phrases, the longest first, blanks dropped."""
     made = F.filter(F.transform(terms, phrase), lambda t: t != "")
     by_length = F.array_sort(F.transform(made, lambda t: F.struct((-F.length(t)).alias("n"), t.alias("t"))))
-    return F.transform(by_length, lambda s: s["t"])
-
-
-def _whole(t: Column) -> Column:
-    return F.concat(F.lit(r"(?U)(?<!\w)\Q"), t, F.lit(r"\E(?!\w)"))
+    return F.transform(by_length, lambda s: spaced(s["t"]))
 
 
 def has_phrase(x: Column, terms: Column) -> Column:
     """Whether any term occurs as a whole phrase."""
-    return F.exists(phrases(terms), lambda t: F.rlike(phrase(x), _whole(t)))
+    return has_any(spaced(phrase(x)), phrases(terms))
 
 
 def remove_phrases(x: Column, terms: Column) -> Column:
     """The text as a phrase, without any of the terms; longer terms go first."""
-    left = F.aggregate(phrases(terms), phrase(x), lambda acc, t: F.trim(F.regexp_replace(F.regexp_replace(acc, _whole(t), F.lit(" ")), r"(?U)\s+", " ")))
-    return F.trim(left)
+    return without(spaced(phrase(x)), phrases(terms))
+
+
+def without(text: Column, terms: Column) -> Column:
+    """The same for a spaced phrase and phrases that are prepared."""
+    return F.trim(F.regexp_replace(F.aggregate(terms, text, lambda acc, t: F.replace(acc, t, F.lit(""))), " +", " "))
 
 
 def strip_terms(x: Column, terms: Column) -> Column:
     """The lower-case text without the terms where spaces surround them; longer terms go first."""
-    made = F.filter(F.transform(terms, lambda t: F.lower(clean(t))), lambda t: t != "")
-    ordered = F.transform(F.array_sort(F.transform(made, lambda t: F.struct((-F.length(t)).alias("n"), t.alias("t")))), lambda s: s["t"])
-    padded = F.concat(F.lit(" "), F.lower(clean(x)), F.lit(" "))
-    return clean(F.aggregate(ordered, padded, lambda acc, t: F.replace(acc, F.concat(F.lit(" "), t, F.lit(" ")), F.lit(" "))))
+    return stripped(F.lower(clean(x)), by_length(low_terms(terms)))
+
+
+def by_length(terms: Column) -> Column:
+    return F.transform(F.array_sort(F.transform(terms, lambda t: F.struct((-F.length(t)).alias("n"), t.alias("t")))), lambda s: s["t"])
+
+
+def stripped(low: Column, terms: Column) -> Column:
+    """The same for a text and terms, the longest first, that are prepared."""
+    padded = F.concat(F.lit(" "), low, F.lit(" "))
+    return clean(F.aggregate(terms, padded, lambda acc, t: F.replace(acc, F.concat(F.lit(" "), t, F.lit(" ")), F.lit(" "))))
 
 
 def attached(x: Column, targets: Column, reasons: Column, gap: int, reach: int = 40) -> Column:
     """Whether a reason stands near a target: first places within ``reach`` characters, or tokens within ``gap``.
 
-    A token matches a term if either contains the other as a whole token or part. Terms that don't occur at
-    all are dropped first, so the work follows the text and not the dictionary.
+    A token matches a term if it contains it or is one of its words.
     """
-    low = F.lower(clean(x))
-    words = token_list(x)
-    near = lambda terms: F.filter(F.transform(terms, lambda t: F.lower(clean(t))), lambda t: t != "")
-    inside = lambda terms: F.filter(near(terms), lambda t: F.contains(low, t))
-    by_place = F.exists(inside(targets), lambda a: F.exists(inside(reasons), lambda b: F.abs(F.instr(low, a) - F.instr(low, b)) <= reach))
+    return near(F.lower(clean(x)), token_list(x), low_terms(targets), low_terms(reasons), gap, reach)
+
+
+def near(low: Column, words: Column, targets: Column, reasons: Column, gap: int, reach: int = 40) -> Column:
+    """The same for a text, its tokens and terms that are prepared. Only terms that occur are paired."""
+    places = lambda terms: F.filter(F.transform(terms, lambda t: F.instr(low, t)), lambda i: i > 0)
+    by_place = _let(places(targets), lambda a: _let(places(reasons), lambda b: F.exists(a, lambda i: F.exists(b, lambda j: F.abs(i - j) <= reach))))
 
     def hits(terms: Column) -> Column:
-        told = near(terms)
-        marked = F.transform(words, lambda w, i: F.when(F.exists(told, lambda t: F.contains(w, t) | F.array_contains(F.split(t, " "), w)), i))
+        marked = F.transform(words, lambda w, i: F.when(F.exists(terms, lambda t: F.contains(w, t) | (F.contains(t, w) & F.array_contains(F.split(t, " "), w))), i))
         return F.filter(marked, lambda i: i.isNotNull())
 
-    by_token = F.exists(hits(targets), lambda i: F.exists(hits(reasons), lambda j: F.abs(i - j) <= gap))
+    by_token = _let(hits(targets), lambda a: _let(hits(reasons), lambda b: F.exists(a, lambda i: F.exists(b, lambda j: F.abs(i - j) <= gap))))
     return by_place | by_token
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def label_tokens(x: Column) -> Column:
     """Tokens of a label such as ``07-01. Some/label (part)``, without its number."""
     bare = F.regexp_replace(clean(x), r"^\d+-\d+\.\s*", "")

@@ -7,34 +7,30 @@ from pyspark.sql import functions as F
 
 from ..config import Classifying
 from ..functions.identity import GROUP
-from ..functions.text import attached, clean, contains_any, has_phrase, remove_phrases, strip_terms, tokens
+from ..functions.text import clean, has_any, near, phrase, spaced, stripped, token_list, tokens, without
 from .dims import Dictionaries, group_terms, words
 
 MEMO = (*GROUP, "memo_id", "memo")
 
 
-def pure_sentiment(memo: Column, targets: Column, terms: Column, connectors: Column, most: int) -> Column:
-    """Whether a short memo names the category and a sentiment and says no more than connecting words."""
-    x = clean(memo)
-    left = F.filter(F.split(remove_phrases(x, F.concat(targets, terms)), " "), lambda t: t != "")
-    return (x != "") & (F.length(x) <= most) & has_phrase(x, targets) & has_phrase(x, terms) & F.forall(left, lambda t: F.array_contains(connectors, t))
-
-
 def overall(memos: DataFrame, terms: DataFrame, c: Classifying = Classifying(), d: Dictionaries = Dictionaries()) -> DataFrame:
-    """Adds ``rule``: the stage of the overall rule that holds, blocks or doesn't apply."""
-    df = memos.join(terms, list(GROUP))
+    """Adds ``rule``: the stage of the overall rule that holds, blocks or doesn't apply.
+
+    Pure: a short memo that names the category and a sentiment and says no more than connecting words. Else a
+    short memo with a sentiment, unless a feature or a reason stands near what it is about.
+    """
     x = clean(F.col("memo"))
-    sentiment = F.concat("overall_sentiment_terms", words(d.sentiment))
-    reasons = F.concat("reason_signal_terms", words(d.reasons))
-    feature = attached(x, F.col("neutral"), F.col("feature_hint_terms"), 5) | contains_any(strip_terms(x, F.col("neutral")), F.col("feature_hint_terms"))
-    blocked = feature | attached(x, F.col("neutral"), reasons, 4)
-    said = contains_any(x, F.col("overall_sentiment_terms"))
-    rule = (
-        F.when(pure_sentiment(x, F.col("targets"), sentiment, words(d.connectors), c.overall_max_text_length), "rule_overall_target_sentiment")
-        .when(said & (F.length(x) <= c.overall_max_text_length) & ~blocked, "rule_overall")
-        .when(said & blocked, "rule_overall_blocked")
-        .otherwise("rule_non_overall")
-    )
+    ready = memos.withColumns({"_low": F.lower(x), "_words": token_list(F.col("memo")), "_spaced": spaced(phrase(F.col("memo"))), "_length": F.length(x)})
+    df = ready.join(terms, list(GROUP))
+    short = F.col("_length") <= c.overall_max_text_length
+    left = F.filter(F.split(without(F.col("_spaced"), F.col("pure_phrases")), " "), lambda t: t != "")
+    connected = F.forall(left, lambda t: F.array_contains(words(d.connectors), t))
+    pure = (F.col("_length") > 0) & short & has_any(F.col("_spaced"), F.col("target_phrases")) & has_any(F.col("_spaced"), F.col("sentiment_phrases")) & connected
+    attached = lambda what, gap: near(F.col("_low"), F.col("_words"), F.col("neutral_low"), F.col(what), gap)
+    blocked = attached("features", 5) | has_any(stripped(F.col("_low"), F.col("neutral_low")), F.col("features")) | attached("reasons", 4)
+    said = has_any(F.col("_low"), F.col("said"))
+    # The costly tests come last: only memos with a sentiment reach them
+    rule = F.when(pure, "rule_overall_target_sentiment").when(~said, "rule_non_overall").when(blocked, "rule_overall_blocked").when(short, "rule_overall").otherwise("rule_non_overall")
     return df.withColumn("rule", rule).select(*memos.columns, "overall_topic_name", "feature_hint_terms", "rule")
 
 

@@ -67,8 +67,8 @@ def nearest(df: DataFrame, protos: DataFrame, auto: float, fallback: float, top_
     One aggregation keeps the best and the ordered list; ties go to the prototype of more memos, then by name.
     """
     right = protos.select(*GROUP, *VERSION, "embedding_model", F.col("embedding_dim").alias("_dim"), F.col("pred_topic").alias("prototype_topic"), "distinct_memo_cnt", "prototype")
-    pairs = df.withColumn("_dim", F.size("embedding")).withColumnRenamed("pred_topic", "true_topic").join(right, [*GROUP, *VERSION, "embedding_model", "_dim"])
-    pairs = pairs.withColumn("similarity", dot(unit(F.col("embedding")), F.col("prototype"))).where("similarity is not null")
+    pairs = df.withColumn("_dim", F.size("embedding")).withColumn("_unit", unit(F.col("embedding"))).withColumnRenamed("pred_topic", "true_topic").select(*GROUP, *VERSION, "embedding_model", "_dim", "memo_id", "true_topic", "_unit").join(right, [*GROUP, *VERSION, "embedding_model", "_dim"])
+    pairs = pairs.withColumn("similarity", dot(F.col("_unit"), F.col("prototype"))).where("similarity is not null")
     ranked = first_by(pairs, [*GROUP, *VERSION, "embedding_model", "memo_id"], [F.desc("similarity"), F.desc("distinct_memo_cnt"), F.asc("prototype_topic")], top_k, "rank")
     entry = F.struct("rank", F.col("prototype_topic").alias("topic"), F.round("similarity", 6).alias("similarity"))
     best = lambda c: F.min_by(c, "rank").alias(c)
