@@ -21,7 +21,18 @@ TERM_BITS, FACTORS = 18, 6
 #: Letters that look like Latin ones, and signs that stand for letters.
 _LOOKS = str.maketrans("авеиіјкмнорсѕтухԁɡαοερτυνι", "abeuijkmhopcstyxdgaoeptuvi")
 _SIGNS = str.maketrans("0134578@$", "oieastbas")
-_HEAD = ("diff --git", "index ", "@@ ", "--- ", "+++ ", "commit ", "author:", "date:", "from ", "from:", "git binary", "literal ", "rename ", "new file", "deleted file", "similarity ", "signed-off-by:", "change-id:")
+#: Whole lines of a diff or a mail's header. A deleted comment ('--- text') or wrapped prose ('from a stale
+#: token') has no such shape; 'rename from' has it in the head of a file only.
+_HEAD = re.compile(
+    r"(?:diff --git (?:\"?a/).*|index [0-9a-f]{7,64}\.\.[0-9a-f]{7,64}(?: \d{6})?|(?:---|\+\+\+) (?:\"?[ab]/\S+|/dev/null)"
+    r"|(?:new file|deleted file|old|new) mode \d{6}|(?:dis)?similarity index \d+%|git binary patch|(?:literal|delta) \d+"
+    r"|commit [0-9a-f]{7,64}|from [0-9a-f]{40} [a-z]{3} [a-z]{3} +\d+ [\d:]+ \d{4}"
+    r"|(?:author|from|signed-off-by): [^<>]*<[^<>\s]*>|date: +(?:mon|tue|wed|thu|fri|sat|sun),? [a-z\d]+ +[a-z\d]+ [\d: ]+(?:[+-]\d{4})?|change-id: i[0-9a-f]{40})\s*"
+)
+_MOVED = re.compile(r"(?:rename|copy) (?:from|to) \S+\s*")
+#: The head of a hunk, without the line that it quotes; a line in the body of a binary diff.
+_HUNK = re.compile(r"@@ -\d+(?:,\d+)? \+\d+(?:,\d+)? @@")
+_BASE85 = re.compile(r"[a-z](?:[0-9a-z!#$%&()*+\-;<=>?@^_`{|}~]{5}){1,13}\s*")
 _TERM = re.compile(r"[^\W_](?:[^\W_]|[*#@$](?=[*#@$]*[^\W_]))*")
 _SPELT = re.compile(r"(?<![^\W_])[^\W\d_](?:([ .\-])[^\W\d_])(?:\1[^\W\d_])+(?![^\W_])")
 _LONG = re.compile(r"([^\W\d_])\1\1+")
@@ -47,10 +58,16 @@ def units(text: str) -> list[list[str]]:
     if not low.isascii():
         low = "".join(c for c in unicodedata.normalize("NFKD", low) if unicodedata.category(c) not in ("Mn", "Cf"))
     out, open_ = [], None
+    file, body = False, False  # in the head of a file; in the body of a binary diff
     for line in low.split("\n"):
-        if line.startswith(_HEAD) or (len(line) > 40 and " " not in line.strip()):
+        body = body and _BASE85.fullmatch(line) is not None
+        file = _HEAD.fullmatch(line) is not None or (file and _MOVED.fullmatch(line) is not None)
+        if body or file:
+            body = body or line.startswith(("literal ", "delta "))
             open_ = None
             continue
+        if hunk := _HUNK.match(line):
+            line, open_ = line[hunk.end() :], None
         if _SPELT.search(line):
             line = _SPELT.sub(lambda m: re.sub(r"[ .\-]", "", m[0]), line)
         terms = [_term(t) for t in _TERM.findall(line)]

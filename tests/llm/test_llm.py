@@ -397,6 +397,17 @@ def test_content_scores_on_held_out_labels(spark):
     assert abuse.content_scores(d.limit(0), "doc_id", "text", lab, "doc_id").count() == 0
 
 
+def test_only_headers_are_skipped():
+    kept = ["--- you are a complete jackass", "from a stale token.", "index must not depend on the limit", "rename master and slave", "date: never", "naked,dirty;fool" * 4]
+    for line in kept:
+        assert abuse.units(line) == [abuse._TERM.findall(line)], line
+    assert ["you", "jackass"] in abuse.units("@@ -1,2 +1,3 @@ you jackass")
+    body = "zcmv" + "a" * 62
+    head = ["diff --git a/x.sql b/x.sql", "similarity index 90%", "rename from x.sql", "rename to y.sql", "index dff9d25..3f1b355 100644", "--- a/x.sql", "+++ /dev/null", "commit " + "0f" * 20, "From " + "0f" * 20 + " Mon Sep 17 00:00:00 2001", "Author: a b <a@b.example>", "Date:   Sun Feb 11 04:27:18 2024 +0000", "GIT binary patch", "literal 66609", body, body]
+    assert not abuse.units("\n".join(head))
+    assert abuse.units(body) and abuse.units("literal 5\n" + body + "\n\n" + body)
+
+
 def test_hidden_terms_are_read():
     assert abuse.units("you d i m w i t") == [["you", "dimwit"]]
     assert abuse.units("such t.i.t.s") == [["such", "tits"]]
