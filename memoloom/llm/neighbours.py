@@ -7,9 +7,12 @@ from math import ceil
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import cut
 from .vectors import Vectors, matrix
 
 
@@ -70,15 +73,58 @@ def top_of_windows(x: np.ndarray, vid: np.ndarray, k: int, window: int, least: f
     return np.concatenate(out_a), np.concatenate(out_b), np.concatenate(out_s)
 
 
+def equal_groups(vectors: Vectors) -> DataFrame:
+    """``vid``, ``rep`` and ``self`` of each vector that equals another once of unit length.
+
+    ``rep`` is the smallest vid of those equal to it, ``self`` their cosine as the other cosines are computed.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            x = matrix(b["vec"]) + 0.0  # no negative zeros
+            h = np.array([xxhash.xxh3_128_digest(r.tobytes()) for r in x], "S16").view(np.int64).reshape(-1, 2) if len(x) else np.zeros((0, 2), np.int64)
+            yield pd.DataFrame({"vid": b["vid"], "h1": h[:, 0], "h2": h[:, 1], "self": (x * x).sum(1)})
+
+    hashed = vectors.rows.select("vid", "vec").mapInPandas(run, "vid long, h1 long, h2 long, self double")
+    groups = hashed.groupBy("h1", "h2").agg(F.min("vid").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    return hashed.join(groups, ["h1", "h2"]).select("vid", "rep", "self")
+
+
+def expand(found: DataFrame, equal: DataFrame, k: int, least: float) -> DataFrame:
+    """What ``nearest`` finds for representatives, for each vector and among all: exact by cosine, then vid.
+
+    A vector among the ``k`` nearest of another has a representative among the ``k`` nearest ones or the
+    other's own, and of each group the ``k`` + 1 smallest vids are all that can be chosen.
+    """
+    by_vid = Window.partitionBy("rep").orderBy("vid")
+    few = equal.withColumn("nth", F.row_number().over(by_vid)).where(F.col("nth") <= k + 1)
+    few = cut(few.groupBy("rep").agg(F.sort_array(F.collect_list("vid")).alias("same"), F.first("self").alias("self")))
+    others = few.select(F.col("rep").alias("neighbour"), "same")
+    wide = found.join(others, "neighbour", "left").select("vid", "cosine", F.explode(F.coalesce("same", F.array("neighbour"))).alias("neighbour"))
+    own = few.where(F.col("self") >= least).select(F.col("rep").alias("vid"), F.col("self").alias("cosine"), F.explode("same").alias("neighbour"))
+    # at most (k + 1) ** 2 for each representative
+    lists = wide.unionByName(own).groupBy("vid").agg(F.sort_array(F.collect_list(F.struct((-F.col("cosine")).alias("far"), "neighbour"))).alias("best"))
+    single = lists.join(equal, "vid", "left_anti").select("vid", "best")
+    many = equal.select("vid", "rep").join(lists.withColumnRenamed("vid", "rep"), "rep").select("vid", "best")
+    best = single.unionByName(many).select("vid", F.slice(F.filter("best", lambda b: b["neighbour"] != F.col("vid")), 1, k).alias("best"))
+    return _ranked(best)
+
+
+def _ranked(best: DataFrame) -> DataFrame:
+    return best.select("vid", F.posexplode("best").alias("rank", "b")).select("vid", (F.col("rank") + 1).alias("rank"), F.col("b.neighbour").alias("neighbour"), (-F.col("b.far")).alias("cosine"))
+
+
 def nearest(vectors: Vectors, k: int = 5, least: float = -1.0, curves: int = 12, dims: int = 8, bits: int = 7, window: int = 256, part_rows: int = 8_192, seed: int = 20260420) -> DataFrame:
     """``vid``, ``rank``, ``neighbour`` and ``cosine``: the ``k`` most similar vectors of each, from ``least`` on.
 
     Each of ``curves`` orderings projects all vectors on ``dims`` random directions, scaled by the moments of
     the whole collection and shifted at random, and sorts them along a Hilbert curve. Spark range-partitions
-    and sorts every ordering; a row meets those up to ``window`` places before and after it. The best of each
-    ordering merge by vector, at most ``k`` rows from each, and rank by cosine in double precision, then by
-    the smaller vid. Very many equal vectors are as long a part of a curve as
-    any others, and split between tasks like these: no bucket grows.
+    and sorts every ordering; a row meets those up to ``window`` places before and after it, over the borders
+    of its task too: rows near one meet once more in a strip around it. The best of each ordering merge by
+    vector, at most ``k`` rows from each, and rank by cosine in double precision, then by the smaller vid.
+
+    Equal vectors are one on the curves, the one of the smallest vid, and what is found for it holds for all
+    of them, by ``expand``; so groups of any size don't fill the windows, and ties are broken over all of them.
 
     The result is approximate: a neighbour counts if some ordering brings it into the window. Every vector is
     indexed and asked for; none is its own neighbour. No vectors or a single one give no rows.
@@ -100,31 +146,74 @@ def nearest(vectors: Vectors, k: int = 5, least: float = -1.0, curves: int = 12,
                 cells = ((u + shift) / 2 * (1 << bits)).astype(np.int64).clip(0, (1 << bits) - 1)
                 yield pd.DataFrame({"curve": np.full(len(b), t, np.int32), "key": hilbert(cells, bits), "vid": b["vid"], "vec": b["vec"]})
 
+    def pairs(p: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return top_of_windows(matrix(p["vec"]), p["vid"].to_numpy(), k, window, least)
+
     def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
+        part, held, head, tail, seen = TaskContext.get().partitionId(), [], [], pd.DataFrame(), 0
 
-        def done(part: pd.DataFrame) -> Iterator[pd.DataFrame]:
-            for _, p in part.groupby("curve", sort=True):
+        def done(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+            for _, p in rows.groupby("curve", sort=True):
                 vid = p["vid"].to_numpy()
-                a, b, s = top_of_windows(matrix(p["vec"]), vid, k, window, least)
-                yield pd.DataFrame({"vid": vid[a], "neighbour": vid[b], "cosine": s})
+                a, b, s = pairs(p)
+                yield pd.DataFrame({"vid": vid[a], "neighbour": vid[b], "cosine": s}).assign(vec=None).reindex(columns=out)
 
         for b in batches:
+            b = b.assign(at=np.arange(seen, seen + len(b)))
+            head += [b[b["at"] < window]] if seen < window else []
+            tail = pd.concat([tail, b]).iloc[-window:]
+            seen += len(b)
             held.append(b)
             if sum(map(len, held)) > 4 * part_rows:  # a partition came out larger: work on it in runs that overlap
-                part = pd.concat(held)
-                yield from done(part)
-                held = [part.iloc[-2 * window :]]
+                rows = pd.concat(held)
+                yield from done(rows)
+                held = [rows.iloc[-2 * window :]]
         if held:
             yield from done(pd.concat(held))
-
-    parts = curves * max(1, ceil(vectors.n / part_rows))
-    keyed = vectors.rows.select("vid", "vec").mapInPandas(keys, "curve int, key long, vid long, vec array<float>")
+            yield pd.concat([*head, tail[tail["at"] >= window]]).assign(part=part, size=seen).reindex(columns=out)
+
+    equal = cut(equal_groups(vectors))
+    copies = equal.where("vid != rep").select("vid")
+    n_copies = copies.count()
+    rows = vectors.rows.select("vid", "vec")
+    if n_copies:
+        rows = rows.join(copies, "vid", "left_anti")
+    parts = curves * max(1, ceil((vectors.n - n_copies) / part_rows))
+    keyed = rows.mapInPandas(keys, "curve int, key long, vid long, vec array<float>")
     ordered = keyed.repartitionByRange(parts, "curve", "key", "vid").sortWithinPartitions("curve", "key", "vid")
-    found = ordered.mapInPandas(meet, "vid long, neighbour long, cosine double")
-    # By vector: at most k rows from each curve
+    out = ["vid", "neighbour", "cosine", "curve", "vec", "part", "at", "size"]
+    met = cut(ordered.mapInPandas(meet, "vid long, neighbour long, cosine double, curve int, vec array<float>, part int, at long, size long"))
+    found, edges = met.where("part is null").select("vid", "neighbour", "cosine"), met.where("part is not null")
+
+    sizes = sorted((r["part"], r["size"]) for r in edges.select("part", "size").distinct().collect())  # a row for each task
+    first = dict(zip([p for p, _ in sizes], np.cumsum([0] + [n for _, n in sizes]).tolist()))
+    borders = np.array(sorted(first.values())[1:], np.int64)
+
+    def strips(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            place = b["at"].to_numpy(np.int64) + b["part"].map(first).to_numpy(np.int64)
+            lo, hi = np.searchsorted(borders, place - window, "right"), np.searchsorted(borders, place + window, "right")
+            row = np.repeat(np.arange(len(b)), hi - lo)
+            border = borders[np.repeat(lo, hi - lo) + np.arange(len(row)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo)]
+            yield pd.DataFrame({"border": border, "place": place[row], "curve": b["curve"].to_numpy(np.int32)[row], "vid": b["vid"].to_numpy()[row], "vec": b["vec"].to_numpy()[row]})
+
+    def over(b: pd.DataFrame) -> pd.DataFrame:
+        border, got = b["border"].iloc[0], [pd.DataFrame({"vid": np.zeros(0, np.int64), "neighbour": np.zeros(0, np.int64), "cosine": np.zeros(0)})]
+        for _, p in b.sort_values("place").groupby("curve"):
+            vid, far = p["vid"].to_numpy(), p["place"].to_numpy() >= border
+            if far.all() or not far.any():
+                continue
+            i, j, s = pairs(p)
+            on = far[i] != far[j]
+            got.append(pd.DataFrame({"vid": vid[i[on]], "neighbour": vid[j[on]], "cosine": s[on]}))
+        return pd.concat(got)
+
+    if len(borders):
+        strip = edges.select("vid", "curve", "vec", "part", "at").mapInPandas(strips, "border long, place long, curve int, vid long, vec array<float>")
+        found = found.unionByName(strip.groupBy("border").applyInPandas(over, "vid long, neighbour long, cosine double"))
+    # By vector: at most k rows from each curve and strip
     best = found.groupBy("vid").agg(F.slice(F.sort_array(F.collect_set(F.struct((-F.col("cosine")).alias("far"), "neighbour"))), 1, k).alias("best"))
-    return best.select("vid", F.posexplode("best").alias("rank", "b")).select("vid", (F.col("rank") + 1).alias("rank"), F.col("b.neighbour").alias("neighbour"), (-F.col("b.far")).alias("cosine"))
+    return expand(_ranked(best), equal, k, least) if n_copies else _ranked(best)
 
 
 def with_ids(vectors: Vectors, found: DataFrame) -> DataFrame:

@@ -230,6 +230,30 @@ def test_ties_go_to_the_smaller_id(spark):
     assert [x["neighbour_id"] for x in r] == ["m0", "m1"]
 
 
+def by_force(x, ids, k):
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    return {(ids[i], r + 1, ids[j]) for i in range(len(u)) for r, j in enumerate([j for j in np.lexsort((np.arange(len(u)), -np.round((u * u[i]).sum(1), 12))) if j != i][:k])}
+
+
+def test_large_groups_of_equal_vectors(spark):
+    rng = np.random.default_rng(8)
+    c = rng.standard_normal((40, 8))
+    x = np.concatenate([np.repeat(c[:1], 700, axis=0), np.repeat(c[1:2], 3, axis=0), c[2:], 2 * c[:1]])[rng.permutation(742)].astype(np.float32)
+    ids = [f"m{i:04}" for i in range(len(x))]
+    v = vectors.load(spark.createDataFrame(list(zip(ids, x.tolist())), "memo_id string, v array<float>"), "memo_id", "v", 8)
+    got = {(r["id"], r["rank"], r["neighbour_id"]) for r in neighbours.with_ids(v, neighbours.nearest(v, 5)).collect()}
+    assert got == by_force(x, ids, 5)
+
+
+def test_windows_pass_the_borders_of_tasks(spark):
+    x = np.random.default_rng(9).standard_normal((300, 4)).astype(np.float32)
+    ids = [f"m{i:04}" for i in range(len(x))]
+    v = vectors.load(spark.createDataFrame(list(zip(ids, x.tolist())), "memo_id string, v array<float>"), "memo_id", "v", 4)
+    # one curve, whose window holds all rows, in tasks of fewer rows than it
+    got = {(r["id"], r["rank"], r["neighbour_id"]) for r in neighbours.with_ids(v, neighbours.nearest(v, 5, curves=1, dims=4, window=300, part_rows=40)).collect()}
+    assert got == by_force(x, ids, 5)
+
+
 def test_recall_on_larger_data(spark):
     rng = np.random.default_rng(5)
     c = rng.standard_normal((400, 32))
