@@ -24,8 +24,9 @@ COMMON = 64
 COMPONENTS = 32
 #: Members of a key beyond which they are told apart by longer bands; of those, components, rows a band.
 CROWDED, LONG_COMPONENTS, LONG_ROWS = 4_000, 256, 6
-#: Texts of up to so many words that aren't common get longer bands as well: an edit may have hit just these.
-FEW = 2
+#: Texts get longer bands as well if their words that aren't common are up to so many times those which may be
+#: edits: beyond, a third of the weight is shared, and all components differ by a chance of (2/3)**COMPONENTS.
+SPARE = 1.5
 
 
 class _Hasher:
@@ -161,8 +162,8 @@ def _bands(doc: np.ndarray, element: np.ndarray, count: np.ndarray, n_docs: int)
     return key
 
 
-def _keys(texts: DataFrame, counts, only_long: bool = False) -> DataFrame:
-    """Band keys of each text: (id, key). Elements of the signature; longer bands where few words are rare."""
+def _keys(texts: DataFrame, counts, threshold: float, only_long: bool = False) -> DataFrame:
+    """Band keys of each text: (id, key). Elements of the signature; longer bands where all rare words may be edits."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher, df = _Hasher(), counts.value
@@ -178,7 +179,8 @@ def _keys(texts: DataFrame, counts, only_long: bool = False) -> DataFrame:
                 sig = np.sort(prob_min_hash(d, w, n * (COMMON / np.maximum(often, COMMON)) ** 2, len(ids), COMPONENTS), axis=1)
                 new = np.c_[np.ones(len(ids), bool), sig[:, 1:] != sig[:, :-1]]
                 yield pd.DataFrame({"id": ids[np.nonzero(new)[0]], "key": sig[new].view(np.int64)})
-                plain = np.bincount(d[often <= COMMON], minlength=len(ids)) <= FEW
+                rare = np.bincount(d, np.where(often <= COMMON, n, 0), len(ids))
+                plain = rare <= SPARE * (1 - threshold) * np.bincount(d, n, len(ids)) + 1e-9
                 if plain.any():
                     place = np.cumsum(plain) - 1
                     of = plain[d]
@@ -210,8 +212,9 @@ def near_pairs(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.8
     whole corpus in a sketch of fixed size: beyond ``COMMON`` texts the weight falls with their square. The
     expected number of texts that a common word stands for in a component so falls as the word gets more
     common, and no key grows with the corpus by being common. Bands have one row: the key is the element itself, and a text has as many keys as its
-    signature has different elements. Texts of ``FEW`` or fewer words outside the common ones get bands of
-    ``LONG_ROWS`` rows too, by counts alone, since an edit may leave them no rare word in common. Members of a key meet only if the parities of their words, in 128 bits,
+    signature has different elements. Texts of which all words outside the common ones may be edits, or all but
+    few (``SPARE``), get bands of ``LONG_ROWS`` rows too, by counts alone: the other text may have none of these
+    words, and a text with more of them shares some, so that one end alone decides nothing. Members of a key meet only if the parities of their words, in 128 bits,
     differ in no more bits than two texts of that similarity may differ in words, a bound that drops no
     pair. Keys of more than ``CROWDED`` members, which variants of one phrase can bring about, are set aside
     and their members get bands of ``LONG_ROWS`` rows instead. Whatever meets is verified word by word.
@@ -228,14 +231,14 @@ def near_pairs(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.8
     texts = cut(rows.join(reps.select("id", "n", "p1", "p2"), "id").dropDuplicates(["id"]))
 
     counts = df.sparkSession.sparkContext.broadcast(_sketch(texts))
-    keyed = cut(_keys(texts, counts).join(texts.select("id", "n", "p1", "p2"), "id"))
+    keyed = cut(_keys(texts, counts, threshold).join(texts.select("id", "n", "p1", "p2"), "id"))
     crowded = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > CROWDED).select("key")
     if crowded.isEmpty():
         met = _meet(keyed, threshold)
     else:
         crowded = cut(crowded)
         again = texts.join(keyed.join(crowded, "key", "left_semi").select("id").distinct(), "id", "left_semi")
-        longer = _keys(again, counts, True).join(again.select("id", "n", "p1", "p2"), "id")
+        longer = _keys(again, counts, threshold, True).join(again.select("id", "n", "p1", "p2"), "id")
         met = _meet(keyed.join(crowded, "key", "left_anti"), threshold).unionByName(_meet(longer, threshold)).distinct()
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

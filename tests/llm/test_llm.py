@@ -105,6 +105,17 @@ def test_near_pairs_equal_brute_force(spark, monkeypatch):
     assert near_found(spark, rows[:0])[0] == set()
 
 
+def test_pairs_whose_rare_words_are_edits_of_one_end(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "COMMON", 2)  # the small table's stand-in for words of thousands of texts
+    rng = random.Random(12)
+    vocabulary = ["".join(rng.choices("abcdefghij", k=7)) for _ in range(60)]
+    texts = [rng.sample(vocabulary, 30) for _ in range(400)]
+    texts += [t[:27] + ["slip" + "klmnopqrstuvwxyzabcd"[i] + c for c in "xyz"] for i, t in enumerate(texts[:20])]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], TEXTS)
+    pairs, _ = neardup.near_pairs(df, "id", "memo")
+    assert {(r["rep_a"], r["rep_b"]) for r in pairs.collect()} >= {(i, 400 + i) for i in range(20)}
+
+
 def test_signatures_estimate_probability_jaccard():
     rng = np.random.default_rng(0)
     x, y = rng.integers(0, 4, 30), rng.integers(0, 4, 30)
