@@ -198,13 +198,14 @@ def _learn(term: np.ndarray, size: np.ndarray, doc: np.ndarray, label: np.ndarra
     return m
 
 
-def fit(sizes: np.ndarray, cells: np.ndarray, doc: np.ndarray, label: np.ndarray, min_docs: int = 3) -> Machine:
+def fit(sizes: np.ndarray, cells: np.ndarray, doc: np.ndarray, label: np.ndarray, min_docs: int = 3, stands_for: np.ndarray | None = None) -> Machine:
     """A machine from units of labelled documents (``label``: 1, 0 or -1 for unknown, by document and kind).
 
     Terms in fewer than ``min_docs`` documents, names above all, are unknown here and later. The thresholds
     are those of the best F1 where each half of the documents is scored by a machine of the other half, 0.5 at
-    least.
+    least; there a document counts as the ``stands_for`` labels that it was drawn from.
     """
+    stands_for = np.ones(len(label)) if stands_for is None else stands_for
     of = np.repeat(np.arange(len(sizes)), sizes)
     pairs = np.unique(doc[of].astype(np.int64) << TERM_BITS | cells)
     docs_of = np.bincount(pairs & ((1 << TERM_BITS) - 1), minlength=1 << TERM_BITS)
@@ -235,10 +236,10 @@ def fit(sizes: np.ndarray, cells: np.ndarray, doc: np.ndarray, label: np.ndarray
     m = _learn(term, n, doc, label, index, len(known))
     for k in range(len(KINDS)):
         ok = label[:, k] >= 0
-        s, y = held[ok, k], label[ok, k] == 1
+        s, y, w = held[ok, k], label[ok, k] == 1, stands_for[ok]
         order = np.argsort(-s)
-        hit = y[order].cumsum()
-        f1 = 2 * hit / (np.arange(1, len(s) + 1) + max(1, y.sum()))
+        hit = (w * y)[order].cumsum()
+        f1 = 2 * hit / (w[order].cumsum() + max(1, (w * y).sum()))
         if len(s) and y.any():
             best = int(f1.argmax())
             low = s[order][best + 1] if best + 1 < len(s) else 0.0
@@ -258,10 +259,19 @@ def _flat(texts: pd.Series, cell: _Cells) -> tuple[np.ndarray, np.ndarray, np.nd
 
 
 def train(docs: DataFrame, id_col: str, text_col: str, labels: DataFrame, label_id: str, max_labels: int = 12_000) -> Machine:
-    """A machine from at most ``max_labels`` labelled documents: positives first, then by hashes of their ids."""
-    any_ = F.greatest(*[F.coalesce(col(k).cast("int"), F.lit(-1)) for k in KINDS])
+    """A machine from at most ``max_labels`` labelled documents, all where there are no more.
+
+    Of more, those with a positive label are a third at most, more only where the others are too few, each part
+    drawn by hashes of ids; a document stands for as many of its part as were drawn from, so that thresholds
+    fit all labels.
+    """
+    any_ = F.greatest(*[F.coalesce(col(k).cast("int"), F.lit(-1)) for k in KINDS]) == 1
     chosen = labels.where(col(label_id).isNotNull()).select(col(label_id).alias("id"), *[F.coalesce(col(k).cast("int"), F.lit(-1)).alias(k) for k in KINDS], any_.alias("any"))
-    chosen = chosen.orderBy(F.desc(F.col("any") == 1), F.xxhash64(F.lit(3), "id"), "id").limit(max_labels).drop("any")
+    of = {r["any"]: r["n"] for r in chosen.groupBy("any").agg(F.count(F.lit(1)).alias("n")).collect()}
+    pos, neg = of.get(True, 0), of.get(False, 0)
+    take = max(min(pos, max_labels // 3), max_labels - neg)
+    part = lambda on, n, all_: chosen.where(F.col("any") == on).orderBy(F.xxhash64(F.lit(3), "id"), "id").limit(n).withColumn("stands", F.lit(all_ / max(1, min(n, all_))))
+    chosen = part(True, take, pos).unionByName(part(False, max_labels - min(take, pos), neg)).drop("any")
     rows = docs.where(col(text_col).isNotNull()).select(col(id_col).alias("id"), col(text_col).alias("text")).join(F.broadcast(chosen), "id")  # at most max_labels rows
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -271,17 +281,17 @@ def train(docs: DataFrame, id_col: str, text_col: str, labels: DataFrame, label_
             for t in b["text"]:
                 sizes, cells, _ = _flat(pd.Series([t]), cell)
                 out.append((sizes.astype(np.int32), cells.astype(np.int32)))
-            yield pd.DataFrame({"id": b["id"], **{k: b[k] for k in KINDS}, "sizes": [x for x, _ in out], "cells": [x for _, x in out]})
+            yield pd.DataFrame({"id": b["id"], **{k: b[k] for k in KINDS}, "stands": b["stands"], "sizes": [x for x, _ in out], "cells": [x for _, x in out]})
 
     kind = rows.schema["id"].dataType.simpleString()
-    got = rows.mapInPandas(run, f"id {kind}, {', '.join(f'{k} int' for k in KINDS)}, sizes array<int>, cells array<int>").toPandas()
+    got = rows.mapInPandas(run, f"id {kind}, {', '.join(f'{k} int' for k in KINDS)}, stands double, sizes array<int>, cells array<int>").toPandas()
     got = got.sort_values("id", kind="stable").reset_index(drop=True)
     if not len(got):
         return fit(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 3)))
     sizes = np.concatenate(got["sizes"].to_list()).astype(np.int64)
     cells = np.concatenate(got["cells"].to_list()).astype(np.int64)
     doc = np.repeat(np.arange(len(got)), [len(x) for x in got["sizes"]])
-    return fit(sizes, cells, doc, got[list(KINDS)].to_numpy())
+    return fit(sizes, cells, doc, got[list(KINDS)].to_numpy(), stands_for=got["stands"].to_numpy())
 
 
 def content_scores(docs: DataFrame, id_col: str, text_col: str, labels: DataFrame, label_id: str, keep: tuple[str, ...] = (), max_labels: int = 12_000) -> DataFrame:

@@ -432,6 +432,32 @@ def test_content_scores_on_held_out_labels(spark):
     assert abuse.content_scores(d.limit(0), "doc_id", "text", lab, "doc_id").count() == 0
 
 
+def test_many_positive_labels_leave_room_for_others(spark, monkeypatch):
+    seen = {}
+    real = abuse.fit
+    monkeypatch.setattr(abuse, "fit", lambda *a, **kw: seen.update(label=a[3], **kw) or real(*a, **kw))
+    d = spark.createDataFrame([(i, "you fool" if i < 200 else "fix the loop") for i in range(800)], "doc_id long, text string")
+    lab = spark.createDataFrame([(i, int(i < 200), 0, 0) for i in range(800)], "doc_id long, abusive int, hateful int, sexual int")
+    for most, pos, neg in ((90, 30, 60), (700, 200, 500), (800, 200, 600), (900, 200, 600)):
+        abuse.train(d, "doc_id", "text", lab, "doc_id", most)
+        y = seen["label"][:, 0] == 1
+        assert (y.sum(), (~y).sum()) == (pos, neg)
+        assert seen["stands_for"][y].sum() == pytest.approx(200) and seen["stands_for"][~y].sum() == pytest.approx(600)
+    abuse.train(d, "doc_id", "text", lab.where("doc_id < 210"), "doc_id", 90)
+    assert (seen["label"][:, 0] == 1).sum() == 80
+
+
+def test_threshold_counts_what_a_label_stands_for():
+    # 20 positives and 20 negatives alike: at equal numbers to find all is best, where negatives stand for 50 it isn't
+    label = np.zeros((40, 3), int)
+    label[::2, 0] = 1
+    sizes, doc = np.ones(40, np.int64), np.arange(40)
+    cells = np.where(np.arange(40) < 36, 7, np.where(np.arange(40) % 2 == 0, 8, 9))
+    plain = abuse.fit(sizes, cells, doc, label, 1)
+    heavy = abuse.fit(sizes, cells, doc, label, 1, stands_for=np.where(label[:, 0] == 1, 1.0, 50.0))
+    assert heavy.threshold[0] >= plain.threshold[0]
+
+
 def test_only_headers_are_skipped():
     kept = ["--- you are a complete jackass", "from a stale token.", "index must not depend on the limit", "rename master and slave", "date: never", "naked,dirty;fool" * 4]
     for line in kept:
