@@ -27,10 +27,10 @@ def sample_to_targets(
 ) -> tuple[DataFrame, DataFrame]:
     """Draws distinct units so that each group gets its target count; returns (sample, report).
 
-    A group needs the larger of ``min_col`` and ``share_col * size_col`` rounded half up. The acceptance
-    probability of a group is its target-to-observed ratio plus ``oversample``, and grows where the accepted
-    units would be too few; each unit is accepted independently, by its own hash. Of the accepted, those of
-    the smallest hashes up to the exact count stay. The cut is found in a histogram of hash cells, so only
+    A group needs the larger of ``min_col`` and ``share_col * size_col`` rounded half up; its units of the
+    smallest hashes up to that exact count are drawn. The cut replaces independent acceptance: whatever is
+    drawn would be accepted, so the report's acceptance (target-to-observed ratio, larger by ``oversample``
+    and where too few would be left) doesn't change the sample. The cut is found in a histogram of hash cells, so only
     the units of one cell a group are ever ranked, however large the group is.
 
     Units are the distinct non-null ``unit_col`` of a group over rows whose text is neither null nor only
