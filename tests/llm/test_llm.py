@@ -92,21 +92,36 @@ def variants(n, seed, vocabulary=40):
     return out
 
 
-def test_near_pairs_equal_brute_force(spark, monkeypatch):
+def test_near_pairs_equal_brute_force(spark):
     texts = [*variants(60, 1), None, "", "short one", "A B C D E F G H", "a. b. c. d. e. f. g. h.", "h g f e d c b a"]
     rows = [(i, t, 0, 0) for i, t in enumerate(texts)]
     got, want, made = near_found(spark, rows)
     assert got == want and len(want) > 20
     groups = neardup.near_groups(*made).collect()
     assert {r["id"] for r in groups} == {i for p in want for i in p}
-    # the longer bands, which come in where a key is crowded
-    monkeypatch.setattr(neardup, "CROWDED", 3)
-    assert near_found(spark, rows)[0] == want
+    # keys that are too large are divided by words, then into tiles, and lose nothing
+    assert near_found(spark, rows, crowded=3)[0] == want
+    assert near_found(spark, rows, crowded=1)[0] == want
     assert near_found(spark, rows[:0])[0] == set()
 
 
-def test_pairs_whose_rare_words_are_edits_of_one_end(spark, monkeypatch):
-    monkeypatch.setattr(neardup, "COMMON", 2)  # the small table's stand-in for words of thousands of texts
+def test_crowded_keys_keep_every_pair(spark):
+    rng = random.Random(3)
+    stock = [f"stock{i}" for i in range(16)]
+    texts = [" ".join([*stock[:i], f"own{rng.randrange(40)}", *stock[i:], f"my{rng.randrange(40)}"]) for i in [rng.randrange(16) for _ in range(150)]]
+    rows = [(i, t, 0, 0) for i, t in enumerate(texts)] + [(1000 + i, texts[0], 0, 0) for i in range(40)]
+    got, want, _ = near_found(spark, rows, crowded=20)
+    assert got == want and len(want) > 9_000
+
+
+def test_bands_keep_the_chance_of_a_miss_at_any_size():
+    for n in (1, 10**6, 10**8, 10**10):
+        bands, length = neardup.banding(n, 0.8)
+        assert (1 - 0.8**length) ** bands <= neardup.MISSED
+    assert neardup.banding(10**10, 0.8)[1] > neardup.banding(1, 0.8)[1]
+
+
+def test_pairs_whose_rare_words_are_edits_of_one_end(spark):
     rng = random.Random(12)
     vocabulary = ["".join(rng.choices("abcdefghij", k=7)) for _ in range(60)]
     texts = [rng.sample(vocabulary, 30) for _ in range(400)]
