@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import re
+import shutil
 import sys
 import tempfile
 import unicodedata
@@ -24,15 +26,32 @@ def col(name: str) -> Column:
 def cut(df: DataFrame) -> DataFrame:
     """Ends the lineage of ``df`` with a reliable checkpoint.
 
-    The folder is that of ``spark.checkpoint.dir``, which the executors share; only where the session
-    names none (tests, notebooks on one machine) a temporary folder is made.
+    The folder is that of ``spark.checkpoint.dir``, which the executors share. Where the session names none, a
+    session whose tasks run in the driver's process (tests, notebooks) gets a temporary folder that goes with the
+    process; on a cluster a folder of one machine would be no use, so there it is an error.
     """
     spark = df.sparkSession
     if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="memoloom-"))
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="memoloom-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint()
 
 
+def drop(df: DataFrame) -> None:
+    """Deletes the files of a frame that :func:`cut` returned and that nothing will read again."""
+    spark = df.sparkSession
+    try:
+        file = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+    except Exception:  # not a checkpointed frame, so there is nothing to delete  # noqa: BLE001
+        return
+    if file.isDefined():
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file.get())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def is_at_most(df: DataFrame, rows: int) -> bool:
     """Whether ``df`` has no more than ``rows`` rows, found by reading no more than that."""
     return df.limit(rows + 1).count() <= rows

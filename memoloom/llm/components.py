@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, drop
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -20,7 +20,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     edges = cut(edges.where(F.col("a").isNotNull() & F.col("b").isNotNull()).select("a", "b"))
     nodes = edges.select(F.col("a").alias("node")).unionAll(edges.select(F.col("b").alias("node"))).distinct()
     links = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
-    before = None
+    before, links_before = None, links
     while True:
         # large star: over both directions, larger neighbours to the smallest of all and itself
         both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -29,7 +29,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
         # small star: smaller neighbours and itself to the smallest of them
         least = links.groupBy("a").agg(F.min("b").alias("m"))
         moved = links.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        links = cut(moved.unionAll(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct())
+        old, links = links_before, cut(moved.unionAll(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct())
+        drop(old)
+        links_before = links
         after = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if after == before:
             break

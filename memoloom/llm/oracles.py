@@ -16,6 +16,16 @@ with t as (
 )
 """
 
+_P1_SAMPLE = _P1.rstrip() + """, g as (select cate_1_depth, cate_2_depth, sc_measurement, max(needed) as needed from t group by all),
+u as (
+  select g.cate_1_depth, g.cate_2_depth, g.sc_measurement, g.needed, d.memo_id, min(d.detail_id) as detail_id
+  from g join classification_detail d on d.cate_1_depth is not distinct from g.cate_1_depth and d.cate_2_depth is not distinct from g.cate_2_depth and d.sc_measurement is not distinct from g.sc_measurement
+  where d.memo is not null and length(trim(d.memo, ' ')) > 0 and d.memo_id is not null group by all
+)
+select cate_1_depth, cate_2_depth, sc_measurement, memo_id, detail_id from u
+qualify row_number() over (partition by cate_1_depth, cate_2_depth, sc_measurement order by substr(md5(concat_ws('||', '20260420', coalesce(cate_1_depth, ''), coalesce(cate_2_depth, ''), coalesce(cast(sc_measurement as varchar), ''), memo_id)), 1, 12), memo_id) <= needed
+"""
+
 _P6 = """
 select cate_2_depth, pred_topic, detail_id, confidence_score, "rank" from (
   select *, cast(row_number() over (partition by cate_2_depth, pred_topic order by confidence_score desc, detail_id) as integer) as "rank"
@@ -92,6 +102,7 @@ select distinct least(a, b) as id_a, greatest(a, b) as id_b from k
 
 SQL = {
     "p1_found": _P1 + "select cate_1_depth, cate_2_depth, sc_measurement from r where observed < needed",
+    "p1_sample": _P1_SAMPLE,
     "p1_report": _P1 + "select cate_1_depth, cate_2_depth, sc_measurement, needed, observed, least(needed, observed) as drawn, needed - least(needed, observed) as deficit from r",
     "p2_found": _P2,
     "p3_found": _P3,

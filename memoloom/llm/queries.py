@@ -23,8 +23,8 @@ from .vectors import Vectors, load
 GROUP = ["cate_1_depth", "cate_2_depth", "sc_measurement"]
 
 
-def _p1(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    return sample_to_targets(table(spark, d, "classification_detail"), table(spark, d, "sample_target"), GROUP, "memo_id", "memo", "detail_id")
+def _p1(spark: SparkSession, d: str, count_observed: bool = False) -> tuple[DataFrame, DataFrame]:
+    return sample_to_targets(table(spark, d, "classification_detail"), table(spark, d, "sample_target"), GROUP, "memo_id", "memo", "detail_id", count_observed=count_observed)
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -32,7 +32,7 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_report(spark: SparkSession, d: str) -> DataFrame:
-    return _p1(spark, d)[1].select(*GROUP, "needed", "observed", "drawn", "deficit")
+    return _p1(spark, d, True)[1].select(*GROUP, "needed", "observed", "drawn", "deficit")
 
 
 def p1_sample(spark: SparkSession, d: str) -> DataFrame:

@@ -10,10 +10,10 @@ from pathlib import Path
 
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import col
+from .common import col, cut
 
 #: Where the vocabularies lie, unless a caller names another folder.
 FOLDER = "/opt/tokenizers"
@@ -123,6 +123,7 @@ def decode(ids: list[int], tokenizer: str = "byte_bpe_50k", folder: str = FOLDER
 
 
 def token_counts(df: DataFrame, id_col: str, ids_col: str = "ids") -> DataFrame:
-    """Number of tokens by id and in all, as a share of the corpus."""
-    n = df.select(col(id_col).alias(id_col), F.size(ids_col).cast("long").alias("n_tokens"))
-    return n.withColumn("share", F.col("n_tokens") / F.nullif(F.sum("n_tokens").over(Window.partitionBy()), F.lit(0)))
+    """Number of tokens by id and in all, as a share of the corpus; texts are encoded once, the sum is one row."""
+    n = cut(df.select(col(id_col).alias(id_col), F.size(ids_col).cast("long").alias("n_tokens")))
+    total = n.agg(F.sum("n_tokens").alias("total")).scalar()
+    return n.withColumn("share", F.col("n_tokens") / F.nullif(total, F.lit(0)))

@@ -53,11 +53,21 @@ def test_sample_is_exact_and_reports_deficits(spark):
     assert len({(x["g"], x["unit"]) for x in s}) == 503
     assert (r["b"]["needed"], r["b"]["observed"], r["b"]["deficit"]) == (2, 0, 2)
     assert r["c"]["needed"] == 1 and r["c"]["deficit"] == 1 and r["d"]["needed"] == 0
-    assert 0.7 < r["a"]["acceptance"] < 0.9
+    assert 0.7 < r["a"]["acceptance"] < 1 and 500 <= r["a"]["accepted"] < 700
     assert sorted(map(str, s)) == sorted(map(str, sampled(spark, rows[::-1], targets)[0]))
     assert sampled(spark, [], targets)[0] == [] and sampled(spark, rows, [])[1] == {}
 
 
+def test_acceptance_changes_what_is_accepted_and_never_what_is_drawn(spark):
+    rows = [("a", f"u{i}", "m", i, "x", "y") for i in range(3000)] + [("b", f"u{i}", "m", i, "x", "y") for i in range(40)]
+    runs = [sampled(spark, rows, [("a", 0.5, 0, 1000), ("b", 0.5, 0, 100)], oversample=o) for o in (-0.6, 0.05, 1.0)]
+    first = sorted(map(str, runs[0][0]))
+    assert len(first) == 540 and all(sorted(map(str, s)) == first for s, _ in runs)
+    accepted = [r["a"]["accepted"] for _, r in runs]
+    assert accepted[0] < 500 <= accepted[1] < accepted[2] < 3000  # the first comes out short and is refilled
+    assert [r["b"]["deficit"] for _, r in runs] == [10, 10, 10]
+
+
 def test_sample_takes_all_of_a_small_group(spark):
     s, r = sampled(spark, [("a", f"u{i}", "m", i, "", "") for i in range(40)], [("a", 1.0, 0, 50)], broadcast_rows=0)
     assert len(s) == 40 and r["a"]["deficit"] == 10
