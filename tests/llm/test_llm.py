@@ -420,11 +420,53 @@ def test_leaks_equal_brute_force(spark):
     exact = {k for k, r in got.items() if r["exact_words"] >= 13}
     assert exact == {(0, 0), (2, 0), (6, 1), (6, 2)}
     assert got[0, 0]["exact_words"] == 13 and got[2, 0]["exact_words"] == 20
-    assert got[3, 0]["exact_words"] == 0 and got[3, 0]["matched"] == 12
+    assert got[3, 0]["exact_words"] == 0 and (got[3, 0]["matched"], got[3, 0]["passage_words"]) == (13, 14)
     assert leakage.leaks(d.limit(0), "doc_id", "text", i, "item_id", "text").count() == 0
     assert leakage.leaks(d, "doc_id", "text", i.limit(0), "item_id", "text").count() == 0
 
 
+def test_leaks_of_edited_passages(spark):
+    rng = random.Random(8)
+    items = [[f"i{k}w{rng.randrange(60)}" for _ in range(rng.randrange(20, 50))] for k in range(60)]
+
+    def edited(w, share):
+        out = []
+        for x in w:
+            kind = rng.random() / share if share else 9
+            out += [] if kind < 0.2 else ["new", x] if kind < 0.4 else ["other"] if kind < 1 else [x]
+        return out
+
+    docs = []
+    for k, w in enumerate(items):
+        for share in (0.0, 0.05, 0.1, 0.2):
+            docs.append((k, share, ["lead"] * rng.randrange(9) + edited(w, share) + ["tail"] * rng.randrange(9)))
+    text = lambda w: " ".join(w)
+    d = spark.createDataFrame([(n, text(w)) for n, (*_, w) in enumerate(docs)], "doc_id long, text string")
+    i = spark.createDataFrame([(n, text(w)) for n, w in enumerate(items)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r for r in leakage.leaks(d, "doc_id", "text", i, "item_id", "text").collect()}
+
+    # against the alignment on every diagonal, without seeds
+    cache, want = {}, set()
+    for n, (k, _, w) in enumerate(docs):
+        x, y = leakage._hashes(w, cache), leakage._hashes(items[k], cache)
+        m, size = leakage.align([x] * (len(x) + len(y)), [y] * (len(x) + len(y)), np.arange(-len(y), len(x)))
+        if ((size >= 13) & (m >= 0.7 * size)).any():
+            want.add((n, k))
+    assert set(got) <= want
+    share = lambda s: np.mean([p in got for p in want if docs[p[0]][1] == s])
+    print([round(share(s), 3) for s in (0.0, 0.05, 0.1, 0.2)])
+    assert share(0.0) == 1 and share(0.05) >= 0.95 and share(0.1) >= 0.9 and share(0.2) >= 0.5
+
+
+def test_a_hit_without_enough_agreement_around_it_fails(spark):
+    item = [f"w{j}" for j in range(30)]
+    lone = [w if c == "1" else "other" for w, c in zip(item[5:18], leakage.MASKS[3])]  # all that this mask looks at, no more
+    d = spark.createDataFrame([(1, " ".join(["x"] * 9 + lone + ["y"] * 9)), (2, " ".join(item[:5] + lone + item[18:]))], "doc_id long, text string")
+    i = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = {r["doc_id"]: r for r in leakage.leaks(d, "doc_id", "text", i, "item_id", "text").collect()}
+    assert set(got) == {2} and got[2]["matched"] == 25 and got[2]["passage_words"] == 30
+
+
 # 10
 
 
