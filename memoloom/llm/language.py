@@ -36,6 +36,8 @@ def grams(found: list[str]) -> tuple[np.ndarray, np.ndarray]:
     h = np.zeros(len(code), np.uint64)
     for i in range(max(LENGTHS)):
         n = len(code) - i
+        if n <= 0:
+            break
         h = mix(h[:n] ^ (code[i:] + np.uint64(i << 32)))
         if i + 1 in LENGTHS:
             ok = left[:n] > i
@@ -49,11 +51,14 @@ def grams(found: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Model:
-    """One-versus-rest weights of each hashed n-gram, and the scale on which a word leads by 1 on average."""
+    """One-versus-rest weights of each hashed n-gram: the landmarks' n-grams times the Nyström map times the ridge
+    solution, so that words times weights is the product of their kernels with the landmarks and the solution.
+    ``scale``: on it a word leads by 1 on average; ``temper``: slope of the confidence, from held-out labels."""
 
     langs: list[str]
     weights: np.ndarray
     scale: float
+    temper: float = 1.0
 
     def of_words(self, found: list[str]) -> np.ndarray:
         """Scores (words, languages) of words; codes and numbers have none, and words of which few n-grams are
@@ -67,7 +72,9 @@ class Model:
                 first, v = np.flatnonzero(np.r_[True, w[1:] != w[:-1]]), self.weights[c]
                 share = np.add.reduceat(v.any(1), first, dtype=np.float32) / np.diff(np.r_[first, len(w)])
                 out[part] = np.add.reduceat(v, first, axis=0) * (share**2)[:, None] * self.scale
-        return np.clip(out - out.mean(1, keepdims=True), -4, 4)
+        # a run without spaces stands for several words, of some five letters each
+        most = 4 * np.maximum(1, np.array([0 if w.isascii() else sum(c > "\u024f" for c in w) for w in found]) / 5)[:, None] if found else 4
+        return np.clip(out - out.mean(1, keepdims=True), -most, most)
 
 
 def _sentences(text: str) -> list[list[str]]:
@@ -89,36 +96,34 @@ def _spectrum(sentences: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
     return both >> GRAM_BITS, both & ((1 << GRAM_BITS) - 1)
 
 
-def fit(texts: list[str], labels: list[str], landmarks: int = 30, most: int = 650, ridge: float = 1e-2, rounds: int = 3, seed: int = 7) -> Model:
+def fit(texts: list[str], labels: list[str], landmarks: int = 60, most: int = 650, ridge: float = 1e-2, rounds: int = 3, seed: int = 7) -> Model:
     """Kernel ridge regression on Nyström features of a presence spectrum kernel, one language against the rest.
 
     The kernel of two sentences is the number of n-grams that both have, over the root of the product of
-    their numbers. ``landmarks`` sentences of each language span the feature space; ``most`` bounds the
-    training sentences of each. Labels may be wrong at times (they come from a country): after each round,
-    sentences take the language in which they score best, and doubtful ones are left out.
+    their numbers. ``landmarks`` sentences of each label span the feature space; ``most`` bounds the
+    training sentences of each. The regression learns the labels as they are. These may be wrong at times (they come
+    from a country): in each round sentences are judged by the regression of the other half, take the language in
+    which they score best and, where doubtful, are left out. A tenth of the sentences is held out for the slope of
+    the confidence.
     """
     rng = np.random.default_rng(seed)
     langs = sorted(set(labels))
     pool: dict[str, list[list[str]]] = {x: [] for x in langs}
     for t, x in zip(texts, labels):
         pool[x] += [s for s in _sentences(t) if sum(map(len, s)) >= 10]
-    data, y = [], []
+    data, y, held = [], [], []
     for k, x in enumerate(langs):
         take = rng.permutation(len(pool[x]))[:most]
-        data += [pool[x][i] for i in take]
-        y += [k] * len(take)
+        few = take[: len(take) // 10]
+        held += [(pool[x][i], k) for i in few]
+        data += [pool[x][i] for i in take[len(few) :]]
+        y += [k] * (len(take) - len(few))
     if not data:
         return Model(langs or ["und"], np.zeros((1 << GRAM_BITS, max(1, len(langs))), np.float32), 1.0)
     y = np.array(y)
     s, c = _spectrum(data)
     size = np.bincount(s, minlength=len(data)).clip(1)
     start = np.searchsorted(s, np.arange(len(data) + 1))
-    # A count of n-grams by label is enough for a first opinion; landmarks are taken where it agrees.
-    counts = np.zeros((1 << GRAM_BITS, len(langs)), np.float32)
-    np.add.at(counts, (c, y[s]), 1)
-    share = np.log((counts + 0.2) / (counts.sum(1, keepdims=True) + 0.2 * len(langs)) * len(langs))
-    first = np.add.reduceat(share[c], start[:-1], axis=0) / np.sqrt(size)[:, None]
-    y = first.argmax(1)
     marks = np.concatenate([rng.permutation(np.flatnonzero(y == k))[:landmarks] for k in range(len(langs))])
     known, inverse = np.unique(np.concatenate([c[start[i] : start[i + 1]] for i in marks]), return_inverse=True)
     basis = np.zeros((len(known) + 1, len(marks)), np.float32)
@@ -132,14 +137,18 @@ def fit(texts: list[str], labels: list[str], landmarks: int = 30, most: int = 65
     value, vector = np.linalg.eigh(kernel[marks].astype(np.float64))
     root = vector / np.sqrt(value.clip(1e-6))
     z = kernel @ root
-    sure = np.ones(len(data), bool)
+    label, sure = y, np.ones(len(data), bool)
+    solve = lambda on, y: np.linalg.solve(z[on].T @ z[on] + ridge * on.sum() / len(marks) * np.eye(len(marks)), z[on].T @ np.where(np.arange(len(langs)) == y[on][:, None], 1.0, -1.0))
     for _ in range(rounds):
-        target = np.where(np.arange(len(langs)) == y[sure][:, None], 1.0, -1.0)
-        a = np.linalg.solve(z[sure].T @ z[sure] + ridge * sure.sum() / len(marks) * np.eye(len(marks)), z[sure].T @ target)
-        score = z @ a
-        y = score.argmax(1)
+        # each half of the sentences is judged by the regression of the other, so none confirms its own label
+        half, score = rng.random(len(data)) < 0.5, np.zeros((len(data), len(langs)))
+        for h in (half, ~half):
+            if (sure & h).any():
+                score[~h] = z[~h] @ solve(sure & h, y)
         two = np.sort(score, axis=1)[:, -2:]
-        sure = (two[:, -1] - two[:, 0] > 0.3) if len(langs) > 1 else sure
+        y = np.where(two[:, -1] - two[:, 0] > 0.3, score.argmax(1), label) if len(langs) > 1 else label
+        sure = (two[:, -1] - two[:, 0] > 0.3) if len(langs) > 1 and (two[:, -1] - two[:, 0] > 0.3).any() else sure
+    a = solve(sure, y)
     weights = np.zeros((1 << GRAM_BITS, len(langs)), np.float32)
     weights[known] = basis[:-1] @ (root @ a).astype(np.float32)
     model = Model(langs, weights, 1.0)
@@ -149,6 +158,16 @@ def fit(texts: list[str], labels: list[str], landmarks: int = 30, most: int = 65
         rest = np.delete(v, y[i], axis=1).max(1) if len(langs) > 1 else np.zeros(len(v))
         lead.append((v[:, y[i]] - rest).mean())
     model.scale = 1.0 / max(1e-3, float(np.mean(lead))) if lead else 1.0
+    if held and len(langs) > 1:
+        total = np.array([model.of_words(x).sum(0) for x, _ in held])
+        top = total.argmax(1)
+        gap = np.diff(np.sort(total, axis=1)[:, -2:], axis=1)[:, 0]
+        right = top == np.array([k for _, k in held])
+        # the labels themselves are wrong at times; where all is sure, the rest is their error and not the model's
+        floor = min(0.3, float((~right[gap >= np.median(gap)]).mean()))
+        grid = 2.0 ** np.arange(-4, 2.5, 0.5)
+        p = (1 - floor) / (1 + np.exp(-np.clip(grid[:, None] * gap, 0, 30)))
+        model.temper = float(grid[(np.log(np.where(right, p, 1 - p).clip(1e-9))).sum(1).argmax()])
     return model
 
 
@@ -256,10 +275,10 @@ class Reader:
         return out
 
     def _sure(self, v: np.ndarray, k: int) -> float:
-        """A logistic of the lead of a language over the second, in all words."""
+        """A logistic of the lead of a language over the second in all words, of the slope that held-out labels ask for."""
         total = v.sum(0)
         rest = np.delete(total, k).max() if len(total) > 1 else 0.0
-        return float(1 / (1 + np.exp(-np.clip(total[k] - rest, -30, 30))))
+        return float(1 / (1 + np.exp(-np.clip(self.model.temper * (total[k] - rest), -30, 30))))
 
     def _mixed(self, found: list[str], v: np.ndarray, s: np.ndarray, last: np.ndarray) -> Found:
         langs = self.model.langs
@@ -289,9 +308,13 @@ class Reader:
 def train(df: DataFrame, id_col: str, text_col: str, country_col: str, allowed: DataFrame, per_language: int = 500) -> Model:
     """A model from texts whose country has one language, at most ``per_language`` texts of each.
 
+    A language that is nowhere alone is taught by the countries that allow it among others; the rounds of :func:`fit`
+    take what belongs to those others out again.
+
     The sample is bounded by that parameter and the number of languages, and fixed by hashes of the ids.
     """
     single = allowed.groupBy("country").agg(F.min("lang").alias("lang"), F.count_distinct("lang").alias("n")).where("n = 1").select("country", "lang")
+    single = single.unionByName(allowed.join(single.select("lang").distinct(), "lang", "left_anti").select("country", "lang"))
     rows = df.where(F.length(col(text_col)) >= 40).select(F.upper(F.trim(col(country_col))).alias("country"), col(text_col).alias("text"), F.xxhash64(F.lit(11), col(id_col)).alias("h"))
     order = Window.partitionBy("lang").orderBy("h", "text")
     sample = rows.join(F.broadcast(single), "country").select("lang", "h", "text").withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= per_language)
