@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 from .common import WORD, col, cut, fields, fold
 
+#: Copies of one text that a task compares with their first.
+SPLIT = 20_000
 _KEY = T.StructType([T.StructField(c, T.IntegerType() if c in "nk" else T.LongType()) for c in ("n", "s1", "s2", "k", "m1", "m2")])
 _TOP, _MASK = 1 << 63, (1 << 64) - 1
 
@@ -109,11 +111,15 @@ def format_copies(df: DataFrame, group_cols: list[str], id_col: str, text_col: s
                 break
     own = F.struct(F.col("s1").alias("m1"), F.col("s2").alias("m2"))
     classes = rows.join(of_seq, [*group, *seq], "left").select("id", *group, F.coalesce("c", own).alias("c"))
-    sets = classes.groupBy(*group, "c").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id")).where("first_id < last_id")
-    pairs = classes.join(sets, [*group, "c"]).where("id > first_id").select("first_id", "id").distinct()
-
-    # The texts themselves decide, but for pairs that hang together by a third alone.
-    texts = df.where(col(text_col).isNotNull()).select(col(id_col).alias("id"), col(text_col).alias("text"))
-    firsts = texts.join(sets.select(F.col("first_id").alias("id")).distinct(), "id", "left_semi").select(F.col("id").alias("first_id"), F.col("text").alias("first_text"))
-    checked = pairs.join(texts, "id").join(firsts, "first_id").select("first_id", "id", "text", "first_text").mapInPandas(_verify, "first_id long, id long, same boolean")
+    sets = classes.groupBy(*group, "c").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.count(F.lit(1)).alias("n")).where("first_id < last_id")
+    pairs = cut(classes.join(sets, [*group, "c"]).where("id > first_id").select("first_id", "id", F.ceil(F.col("n") / SPLIT).cast("int").alias("splits")).distinct())
+
+    # The texts themselves decide, but for pairs that hang together by a third alone. The first of very many copies
+    # meets them in several tasks.
+    needed = pairs.select("id").unionAll(pairs.select("first_id")).distinct()
+    texts = cut(df.where(col(text_col).isNotNull()).select(col(id_col).alias("id"), col(text_col).alias("text")).join(needed, "id").distinct())
+    firsts = pairs.groupBy("first_id").agg(F.max("splits").alias("splits")).join(texts.select(F.col("id").alias("first_id"), F.col("text").alias("first_text")), "first_id")
+    firsts = firsts.select("first_id", "first_text", F.explode(F.sequence(F.lit(0), F.col("splits") - 1)).alias("split"))
+    copies = pairs.join(texts, "id").withColumn("split", F.pmod(F.xxhash64("id"), F.col("splits")).cast("int"))
+    checked = copies.join(firsts, ["first_id", "split"]).select("first_id", "id", "text", "first_text").mapInPandas(_verify, "first_id long, id long, same boolean")
     return checked.where("same").select("first_id", F.col("id").alias("copy_id")).distinct()
