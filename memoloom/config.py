@@ -6,6 +6,15 @@ from dataclasses import dataclass, field, fields, is_dataclass, replace
 from typing import Any
 
 
+# Names, states and numbers that stored tables and their readers share.
+OVERALL_TOPIC = {1: "전반적 긍정", -1: "전반적 부정", 0: "전반적 평가"}
+RULE_STAGES = ("rule_overall", "rule_overall_target_sentiment")
+WEIGHTS = {"name": 1.20, "description": 0.85, "memos": 0.05, "feature_in_name": 1.25, "feature_in_description": 0.85, "hint_of_words": 2.0, "hint": 1.4}
+RULE_CONFIDENCE, REASON_SCORE = 0.99, 9.0
+DECISION_STATUSES = ("pending", "approved", "rejected", "hold")
+DECISION_ACTIONS = ("reassign_existing_topic", "keep_others", "create_new_topic", "revise_topic_pool")
+
+
 @dataclass(frozen=True)
 class Sampling:
     min_group_size: int = 100

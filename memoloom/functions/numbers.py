@@ -25,3 +25,8 @@ def unit(a: Column) -> Column:
     """A vector of length one; null elements for a vector of zeros."""
     n = F.array(F.nullif(norm(a), F.lit(0.0)))  # in an array of one, so that it is computed once
     return F.element_at(F.transform(n, lambda k: F.transform(a, lambda x: x.cast("double") / k)), 1)
+
+
+def without_nan(df):
+    """NaN in columns of doubles is null: a score that couldn't be computed isn't one that is larger than all others."""
+    return df.withColumns({f.name: F.nanvl(F.col(f"`{f.name}`"), F.lit(None).cast("double")) for f in df.schema if f.dataType.simpleString() == "double"})

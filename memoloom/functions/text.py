@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_JOIN = "(?U)[^\\w가-힣]+"
+_JOIN = r"[^\p{L}\p{M}\p{N}_]+"
 
 
 def clean(x: Column) -> Column:
@@ -26,9 +26,12 @@ def token_list(x: Column) -> Column:
 def term_list(terms: Column, most: int) -> Column:
     """Cleaned non-blank terms, the first of those that differ in case alone, at most ``most``."""
     cleaned = F.filter(F.transform(F.coalesce(terms, F.array().cast("array<string>")), clean), lambda t: t != "")
-    low = F.transform(cleaned, F.lower)
-    first = F.filter(F.transform(cleaned, lambda t, i: F.struct(t.alias("t"), (F.array_position(low, F.lower(t)) == i + 1).alias("first"))), lambda s: s["first"])
-    return F.slice(F.transform(first, lambda s: s["t"]), 1, most)
+
+    def firsts(all_: Column) -> Column:
+        """Of the terms those whose lower case stands at their own place for the first time."""
+        return _let(F.transform(all_, F.lower), lambda low: F.filter(all_, lambda t, i: F.array_position(low, F.get(low, i)) == i + 1))
+
+    return F.slice(_let(cleaned, firsts), 1, most)
 
 
 def low_terms(terms: Column) -> Column:
@@ -40,13 +43,8 @@ def low_terms(terms: Column) -> Column:
     return F.filter(F.transform(terms, lambda t: F.lower(clean(t))), lambda t: t != "")
 
 
-def contains_any(x: Column, terms: Column) -> Column:
-    """Whether any non-blank term is a substring, without case."""
-    return has_any(F.lower(clean(x)), low_terms(terms))
-
-
 def has_any(low: Column, terms: Column) -> Column:
-    """The same for a text and terms that are prepared."""
+    """Whether any of the terms is a substring; text and terms are prepared."""
     return F.exists(terms, lambda t: F.contains(low, t))
 
 
@@ -67,11 +65,6 @@ def phrases(terms: Column) -> Column:
     return F.transform(by_length, lambda s: spaced(s["t"]))
 
 
-def has_phrase(x: Column, terms: Column) -> Column:
-    """Whether any term occurs as a whole phrase."""
-    return has_any(spaced(phrase(x)), phrases(terms))
-
-
 def remove_phrases(x: Column, terms: Column) -> Column:
     """The text as a phrase, without any of the terms; longer terms go first."""
     return without(spaced(phrase(x)), phrases(terms))
@@ -82,17 +75,12 @@ def without(text: Column, terms: Column) -> Column:
     return F.trim(F.regexp_replace(F.aggregate(terms, text, lambda acc, t: F.replace(acc, t, F.lit(""))), " +", " "))
 
 
-def strip_terms(x: Column, terms: Column) -> Column:
-    """The lower-case text without the terms where spaces surround them; longer terms go first."""
-    return stripped(F.lower(clean(x)), by_length(low_terms(terms)))
-
-
 def by_length(terms: Column) -> Column:
     return F.transform(F.array_sort(F.transform(terms, lambda t: F.struct((-F.length(t)).alias("n"), t.alias("t")))), lambda s: s["t"])
 
 
 def stripped(low: Column, terms: Column) -> Column:
-    """The same for a text and terms, the longest first, that are prepared."""
+    """The lower-case text without the terms where spaces surround them; terms are prepared, the longest first."""
     padded = F.concat(F.lit(" "), low, F.lit(" "))
     return clean(F.aggregate(terms, padded, lambda acc, t: F.replace(acc, F.concat(F.lit(" "), t, F.lit(" ")), F.lit(" "))))
 

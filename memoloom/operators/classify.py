@@ -1,65 +1,84 @@
-"""Set-based classification: rules for overall sentiment, then scored topics, for all groups in one plan."""
+"""Set-based classification: rules for overall sentiment, then scored topics, for all groups in one plan.
+
+A memo meets one row of its group, which holds the group's terms and topics; what it scores is computed inside that
+row. Nothing is exploded, grouped again or joined back, and memos are shuffled only where the groups' rows are too
+many to be sent to them.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import Classifying
+from ..config import REASON_SCORE, RULE_CONFIDENCE, RULE_STAGES, WEIGHTS, Classifying
 from ..functions.identity import GROUP
 from ..functions.text import clean, has_any, near, phrase, spaced, stripped, token_list, tokens, without
-from .dims import Dictionaries, group_terms, words
+from .dims import Dictionaries, group_terms, topic_lists, words
+from .rows import first_by, to_groups
 
 MEMO = (*GROUP, "memo_id", "memo")
+SHORTLIST = "array<struct<topic:string,score:double>>"
 
 
-def overall(memos: DataFrame, terms: DataFrame, c: Classifying = Classifying(), d: Dictionaries = Dictionaries()) -> DataFrame:
-    """Adds ``rule``: the stage of the overall rule that holds, blocks or doesn't apply.
+def ruled(memos: DataFrame, terms: DataFrame, c: Classifying = Classifying(), d: Dictionaries = Dictionaries()) -> DataFrame:
+    """Memos with the columns of their group and ``rule``: the stage of the overall rule that holds, blocks or
+    doesn't apply.
 
     Pure: a short memo that names the category and a sentiment and says no more than connecting words. Else a
     short memo with a sentiment, unless a feature or a reason stands near what it is about.
     """
     x = clean(F.col("memo"))
     ready = memos.withColumns({"_low": F.lower(x), "_words": token_list(F.col("memo")), "_spaced": spaced(phrase(F.col("memo"))), "_length": F.length(x)})
-    df = ready.join(terms, list(GROUP))
+    df = to_groups(ready, terms)
     short = F.col("_length") <= c.overall_max_text_length
     left = F.filter(F.split(without(F.col("_spaced"), F.col("pure_phrases")), " "), lambda t: t != "")
-    connected = F.forall(left, lambda t: F.array_contains(words(d.connectors), t))
+    connected = F.forall(left, lambda t: F.array_contains(words(d.connectors), t)) if d.connectors else F.size(left) == 0
     pure = (F.col("_length") > 0) & short & has_any(F.col("_spaced"), F.col("target_phrases")) & has_any(F.col("_spaced"), F.col("sentiment_phrases")) & connected
     attached = lambda what, gap: near(F.col("_low"), F.col("_words"), F.col("neutral_low"), F.col(what), gap)
     blocked = attached("features", 5) | has_any(stripped(F.col("_low"), F.col("neutral_low")), F.col("features")) | attached("reasons", 4)
     said = has_any(F.col("_low"), F.col("said"))
     # The costly tests come last: only memos with a sentiment reach them
     rule = F.when(pure, "rule_overall_target_sentiment").when(~said, "rule_non_overall").when(blocked, "rule_overall_blocked").when(short, "rule_overall").otherwise("rule_non_overall")
-    return df.withColumn("rule", rule).select(*memos.columns, "overall_topic_name", "feature_hint_terms", "rule")
+    return df.withColumn("rule", rule)
+
+
+def overall(memos: DataFrame, terms: DataFrame, c: Classifying = Classifying(), d: Dictionaries = Dictionaries()) -> DataFrame:
+    """Memos with ``rule`` (:func:`ruled`) and what their profile says of the overall topic and of features."""
+    return ruled(memos, terms, c, d).select(*memos.columns, "overall_topic_name", "feature_hint_terms", "rule")
+
+
+def shortlist(c: Classifying = Classifying()) -> Column:
+    """The memo's topics that score above 0, best first, ties by name; the overall one is left out.
+
+    Needs ``_memo`` (tokens), ``_low`` (text), ``_said`` (feature terms in it), ``topics`` and ``overall_topic_name``.
+    Score: 1.20 for each token in common with the name, 0.85 with the description, 0.05 with the representative memos;
+    for each feature term in the memo 1.25 if the name has it, else 0.85 if the description has it; for each hint in
+    the memo 2.0 if it has more than one word, else 1.4.
+    """
+    w, memo, low, said = WEIGHTS, F.col("_memo"), F.col("_low"), F.col("_said")
+
+    def entry(t: Column) -> Column:
+        common = lambda other: F.size(F.array_intersect(memo, other))
+        features = F.aggregate(said, F.lit(0.0), lambda acc, f: acc + F.when(F.contains(t["low"], f), w["feature_in_name"]).when(F.contains(t["told_low"], f), w["feature_in_description"]).otherwise(0.0))
+        hits = F.filter(t["hints"], lambda h: F.contains(low, h))
+        hinted = F.aggregate(hits, F.lit(0.0), lambda acc, h: acc + F.when(F.contains(h, F.lit(" ")), w["hint_of_words"]).otherwise(w["hint"]))
+        score = F.round(w["name"] * common(t["name"]) + w["description"] * common(t["told"]) + w["memos"] * common(t["shown"]) + features + hinted, 4)
+        return F.struct(F.when(t["topic"].eqNullSafe(F.col("overall_topic_name")), 0.0).otherwise(-score).alias("order"), t["topic"].alias("topic"))
+
+    scored = F.filter(F.transform("topics", entry), lambda e: e["order"] < 0)
+    return F.transform(F.slice(F.sort_array(scored), 1, c.shortlist), lambda e: F.struct(e["topic"].alias("topic"), (-e["order"]).alias("score")))
 
 
 def candidates(memos: DataFrame, topic: DataFrame, c: Classifying = Classifying()) -> DataFrame:
-    """Scores above 0 of each memo's topics, the overall one excepted; one row a memo with its shortlist in order.
+    """Group, memo_id and ``shortlist`` of each memo that scores for some topic of its group (:func:`shortlist`).
 
-    ``memos`` needs ``feature_hint_terms`` and ``overall_topic_name``. Score: 1.20 for each token in common with
-    the name, 0.85 with the description, 0.05 with the representative memos; for each feature term in the memo
-    1.25 if the name has it, else 0.85 if the description has it; for each hint in the memo 2.0 if it has more
-    than one word, else 1.4.
+    ``memos`` needs ``feature_hint_terms`` and ``overall_topic_name``.
     """
-    t = topic.select(*GROUP, "topic", "description", "hints", tokens(F.col("topic")).alias("_name"), tokens(F.col("description")).alias("_told"), tokens(F.array_join("memos", " ")).alias("_shown"))
-    pairs = memos.withColumn("_memo", tokens(F.col("memo"))).withColumn("_low", F.lower(clean(F.col("memo")))).join(t, list(GROUP)).where(~F.col("topic").eqNullSafe(F.col("overall_topic_name")))
-    common = lambda other: F.size(F.array_intersect("_memo", other))
-    low, name, told = F.col("_low"), F.lower("topic"), F.lower("description")
-
-    def bonus(acc: Column, term: Column) -> Column:
-        f = F.lower(term)
-        value = F.when((f == "") | ~F.contains(low, f), 0.0).when(F.contains(name, f), 1.25).when(F.contains(told, f), 0.85).otherwise(0.0)
-        return acc + value
-
-    features = F.aggregate("feature_hint_terms", F.lit(0.0), bonus)
-    hits = F.filter("hints", lambda h: (h != "") & F.contains(low, h))
-    hinted = F.aggregate(hits, F.lit(0.0), lambda acc, h: acc + F.when(F.contains(h, F.lit(" ")), 2.0).otherwise(1.4))
-    score = F.round(1.20 * common("_name") + 0.85 * common("_told") + 0.05 * common("_shown") + features + hinted, 4)
-    scored = pairs.withColumn("score", score).where("score > 0")
-    entry = F.struct((-F.col("score")).alias("order"), F.col("topic").alias("topic"))
-    ranked = scored.groupBy(*GROUP, "memo_id").agg(F.slice(F.sort_array(F.collect_list(entry)), 1, c.shortlist).alias("s"))
-    return ranked.select(*GROUP, "memo_id", F.transform("s", lambda e: F.struct(e["topic"].alias("topic"), (-e["order"]).alias("score"))).alias("shortlist"))
+    low = F.lower(clean(F.col("memo")))
+    features = F.filter(F.transform("feature_hint_terms", F.lower), lambda f: f != "")
+    ready = to_groups(memos.withColumns({"_memo": tokens(F.col("memo")), "_low": low}).withColumn("_features", features), topic_lists(topic))
+    ready = ready.withColumn("_said", F.filter("_features", lambda f: F.contains(F.col("_low"), f)))
+    return ready.withColumn("shortlist", shortlist(c)).where(F.size("shortlist") > 0).select(*GROUP, "memo_id", "shortlist")
 
 
 def decide(df: DataFrame, c: Classifying = Classifying()) -> DataFrame:
@@ -67,30 +86,53 @@ def decide(df: DataFrame, c: Classifying = Classifying()) -> DataFrame:
     first, second = F.get("shortlist", F.lit(0)), F.get("shortlist", F.lit(1))
     s1 = first["score"]
     margin = F.round(s1 - F.coalesce(second["score"], F.lit(0.0)), 4)
-    ruled = F.col("rule").isin("rule_overall", "rule_overall_target_sentiment")
+    by_rule = F.col("rule").isin(*RULE_STAGES)
     none = F.col("shortlist").isNull() | (F.size("shortlist") == 0)
     won = (s1 >= c.min_score) & (margin >= c.min_margin)
-    pick = lambda a, b, t, o: F.when(ruled, a).when(none, b).when(won, t).otherwise(o)
+    pick = lambda a, b, t, o: F.when(by_rule, a).when(none, b).when(won, t).otherwise(o)
     why = F.format_string("top_score=%.4f;margin=%.4f", s1, margin)
-    return (
-        df.withColumn("pred_topic", pick(F.col("overall_topic_name"), F.lit(c.others_label), first["topic"], F.lit(c.others_label)))
-        .withColumn("pred_topic_type", pick(F.lit("overall"), F.lit("others"), F.lit("topic"), F.lit("ambiguous")))
-        .withColumn("classification_stage", pick(F.col("rule"), F.lit("forced_others"), F.lit("heuristic_topic_match"), F.lit("ambiguous_candidate_match")))
-        .withColumn("confidence_score", pick(F.lit(0.99), F.lit(0.0), s1, s1))
-        .withColumn("review_needed_yn", pick(F.lit(False), F.lit(c.review_default), F.lit(False), F.lit(True)))
-        .withColumn("match_reason", pick(F.when(F.col("rule") == "rule_overall", "pure_sentiment_short_memo").otherwise("pure_category_target_sentiment"), F.lit("no_topic_candidate"), why, why))
-        .withColumn("candidate_topics_json", F.to_json(F.coalesce("shortlist", F.array().cast("array<struct<topic:string,score:double>>"))))
-        .withColumn("llm_used_yn", F.lit(False))
-    )
+    return df.withColumns({
+        "pred_topic": pick(F.col("overall_topic_name"), F.lit(c.others_label), first["topic"], F.lit(c.others_label)),
+        "pred_topic_type": pick(F.lit("overall"), F.lit("others"), F.lit("topic"), F.lit("ambiguous")),
+        "classification_stage": pick(F.col("rule"), F.lit("forced_others"), F.lit("heuristic_topic_match"), F.lit("ambiguous_candidate_match")),
+        "confidence_score": pick(F.lit(RULE_CONFIDENCE), F.lit(0.0), s1, s1),
+        "review_needed_yn": pick(F.lit(False), F.lit(c.review_default), F.lit(False), F.lit(True)),
+        "match_reason": pick(F.when(F.col("rule") == "rule_overall", "pure_sentiment_short_memo").otherwise("pure_category_target_sentiment"), F.lit("no_topic_candidate"), why, why),
+        "candidate_topics_json": F.to_json(F.coalesce("shortlist", F.array().cast(SHORTLIST))),
+        "llm_used_yn": F.lit(False),
+    })
 
 
 def classify(memos: DataFrame, profile: DataFrame, topic: DataFrame, c: Classifying = Classifying(), d: Dictionaries = Dictionaries()) -> DataFrame:
-    """Labels of memos, one row a (group, memo_id); all groups at once. Groups without a profile give none."""
-    ruled = overall(memos.select(*MEMO), group_terms(profile, topic, d), c, d)
-    # the rules drop out before the join with topics, which is the larger work
-    open_ = ruled.where(~F.col("rule").isin("rule_overall", "rule_overall_target_sentiment"))
-    scored = ruled.join(candidates(open_, topic, c), [*GROUP, "memo_id"], "left")
-    return decide(scored, c).drop("feature_hint_terms", "overall_topic_name", "rule", "shortlist")
+    """Labels of memos, one row a (group, memo_id); all groups at once. Groups without a profile give none.
+
+    The rules come first, once; only memos that they leave open are scored.
+    """
+    df = ruled(memos.select(*MEMO), group_terms(profile, topic, d), c, d)
+    open_ = ~F.col("rule").isin(*RULE_STAGES)
+    df = df.withColumn("_memo", F.when(open_, tokens(F.col("memo")))).withColumn("_said", F.when(open_, F.filter("features", lambda f: F.contains(F.col("_low"), f))))
+    df = df.withColumn("shortlist", F.when(open_, shortlist(c)))
+    made = ("pred_topic", "pred_topic_type", "classification_stage", "confidence_score", "review_needed_yn", "match_reason", "candidate_topics_json", "llm_used_yn")
+    return decide(df, c).select(*MEMO, *made)
+
+
+def normalized(df: DataFrame, settings, versions: dict[str, str], at: str, c: Classifying = Classifying()) -> DataFrame:
+    """Results as they are stored: a missing topic or type is that of the others, candidates are a list of at most
+    ``c.shortlist``, flags are set, a NaN score is null; with the columns of run and versions."""
+    blank = lambda x: F.trim(F.coalesce(F.col(x), F.lit(""))) == ""
+    known = F.from_json("candidate_topics_json", SHORTLIST)
+    return df.withColumns({
+        "pred_topic_type": F.when(blank("pred_topic") | blank("pred_topic_type"), "others").otherwise(F.col("pred_topic_type")),
+        "pred_topic": F.when(blank("pred_topic"), c.others_label).otherwise(F.col("pred_topic")),
+        "classification_stage": F.when(blank("classification_stage"), "forced_others").otherwise(F.col("classification_stage")),
+        "confidence_score": F.nanvl("confidence_score", F.lit(None).cast("double")),
+        "candidate_topics_json": F.to_json(F.slice(F.coalesce(known, F.array().cast(SHORTLIST)), 1, c.shortlist)),
+        "match_reason": F.coalesce("match_reason", F.lit("")),
+        "llm_used_yn": F.coalesce("llm_used_yn", F.lit(False)),
+        "review_needed_yn": F.coalesce("review_needed_yn", F.lit(c.review_default)),
+        **{v: F.lit(x) for v, x in versions.items()},
+        "run_id": F.lit(settings.run_id), "run_date": F.lit(settings.run_date), "pipeline_stage": F.lit("classification"), "is_latest": F.lit(True), "created_at": F.lit(at), "created_by": F.lit("pipeline"),
+    })
 
 
 def named_once(reason: Column, topics: Column, others: str | None = None) -> Column:
@@ -100,10 +142,13 @@ def named_once(reason: Column, topics: Column, others: str | None = None) -> Col
     return F.when(F.size(hits) == 1, F.element_at(hits, 1))
 
 
+def topic_names(topic: DataFrame) -> DataFrame:
+    return topic.groupBy(*GROUP).agg(F.sort_array(F.collect_set("topic")).alias("_topics"))
+
+
 def rescue(df: DataFrame, topic: DataFrame, c: Classifying = Classifying()) -> DataFrame:
     """Rows that a model put to others although its reason names exactly one topic take that topic."""
-    names = topic.groupBy(*GROUP).agg(F.sort_array(F.collect_set("topic")).alias("_topics"))
-    out = df.join(names, list(GROUP), "left")
+    out = to_groups(df, topic_names(topic), "left")
     found = named_once(F.col("match_reason"), F.coalesce("_topics", F.array().cast("array<string>")), c.others_label)
     hit = (F.col("classification_stage") == "llm_fallback") & (F.col("pred_topic_type") == "others") & found.isNotNull()
     new = {
@@ -117,15 +162,21 @@ def rescue(df: DataFrame, topic: DataFrame, c: Classifying = Classifying()) -> D
 
 
 def reassignments(others: DataFrame, topic: DataFrame, min_score: float = 0.8, min_margin: float = 0.0, c: Classifying = Classifying()) -> DataFrame:
-    """Topics proposed for memos without one: that which the reason names once (9.0), else the best by score."""
-    rows = others.where(F.col("pred_topic_type") == "others").dropDuplicates([*GROUP, "memo_id"])
-    names = topic.groupBy(*GROUP).agg(F.sort_array(F.collect_set("topic")).alias("_topics"))
-    rows = rows.join(names, list(GROUP)).withColumn("_named", named_once(F.col("match_reason"), F.col("_topics")))
-    blank = rows.select(*GROUP, "memo_id", "memo", F.array().cast("array<string>").alias("feature_hint_terms"), F.lit("").alias("overall_topic_name"))
-    scored = candidates(blank, topic, c)
-    out = rows.join(scored, [*GROUP, "memo_id"], "left")
+    """Topics proposed for memos without one: that which the reason names once, else the best by score.
+
+    Of repeated memos of a group the row of the smallest memo, reason, normal form and topic counts.
+    """
+    keep = ("memo", "match_reason", "memo_norm", "pred_topic")
+    rows = first_by(others.where(F.col("pred_topic_type") == "others").select(*GROUP, "memo_id", *keep, "pred_topic_type"), [*GROUP, "memo_id"], [F.asc_nulls_last(x) for x in keep])
+    rows = to_groups(rows, topic_lists(topic)).withColumns({"_memo": tokens(F.col("memo")), "_low": F.lower(clean(F.col("memo"))), "_said": F.array().cast("array<string>"), "overall_topic_name": F.lit("")})
+    out = rows.withColumn("_named", named_once(F.col("match_reason"), F.transform("topics", lambda t: t["topic"]))).withColumn("shortlist", shortlist(c))
     first, second = F.get("shortlist", F.lit(0)), F.get("shortlist", F.lit(1))
     margin = first["score"] - F.coalesce(second["score"], F.lit(0.0))
     ok = (first["score"] >= min_score) & (margin >= min_margin)
-    out = out.withColumn("suggested_topic", F.coalesce("_named", F.when(ok, first["topic"]))).withColumn("suggestion_score", F.when(F.col("_named").isNotNull(), 9.0).when(ok, first["score"]))
+    out = out.withColumn("suggested_topic", F.coalesce("_named", F.when(ok, first["topic"]))).withColumn("suggestion_score", F.when(F.col("_named").isNotNull(), REASON_SCORE).when(ok, first["score"]))
     return out.where("suggested_topic is not null").select(*GROUP, "memo_id", "memo_norm", F.col("memo").alias("sample_memo"), F.col("pred_topic").alias("current_pred_topic"), F.col("pred_topic_type").alias("current_pred_topic_type"), "suggested_topic", "suggestion_score")
+
+
+def counts(df: DataFrame) -> DataFrame:
+    """Rows of each type and stage."""
+    return df.groupBy("pred_topic_type", "classification_stage").agg(F.count(F.lit(1)).alias("row_cnt"))

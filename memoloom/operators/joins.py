@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.identity import GROUP
+from ..functions.text import clean
 
 LABEL = ("pred_topic", "pred_topic_type", "classification_stage", "confidence_score")
 
@@ -48,8 +49,30 @@ def identity_mapping(detail: DataFrame, mapping: DataFrame) -> DataFrame:
     return mapping.select(*GROUP, "source_topic", "merged_topic").unionByName(left.withColumn("merged_topic", F.col("source_topic")))
 
 
-def locked_topic(name, description, target, sentiment_markers: tuple[str, ...], vague_markers: tuple[str, ...]):
+def locked_topic(name: Column, description: Column, target: Column, sentiment_markers: tuple[str, ...], vague_markers: tuple[str, ...]) -> Column:
     """Whether a topic must stay the overall one: it names the target, or a sentiment with vague words."""
     both = F.concat_ws(" ", name, description)
     has = lambda x, terms: F.exists(F.array(*map(F.lit, terms)), lambda t: F.contains(F.lower(x), F.lower(t))) if terms else F.lit(False)
     return F.contains(name, target) | (has(name, sentiment_markers) & has(both, vague_markers))
+
+
+def complete_mapping(pool: DataFrame, proposed: DataFrame, locked: Column | None = None, target: Column | None = None, reason: str = "locked") -> DataFrame:
+    """A mapping with one row for each topic of the pool, from proposals (``source_topic``, ``merged_topic``,
+    ``merged_description``, ``merge_reason``).
+
+    Proposals for topics that aren't in the pool go; of several for one topic the smallest stays; a topic without one,
+    or with a blank one, is mapped to itself. Topics for which ``locked`` holds are mapped to ``target``.
+    """
+    topics = pool.select(*GROUP, F.col("topic").alias("source_topic"), F.coalesce("description", F.lit("")).alias("_told"))
+    topics = topics.where(clean(F.col("source_topic")) != "").groupBy(*GROUP, "source_topic").agg(F.min("_told").alias("_told"))
+    one = proposed.groupBy(*GROUP, "source_topic").agg(F.min(F.struct("merged_topic", "merged_description", "merge_reason")).alias("_p"))
+    out = topics.join(one, [*GROUP, "source_topic"], "left")
+    text = lambda c, other: F.when(clean(F.col(f"_p.{c}")) != "", clean(F.col(f"_p.{c}"))).otherwise(other)
+    stay = F.lit(False) if locked is None else F.coalesce(locked, F.lit(False))
+    return out.select(
+        *GROUP,
+        "source_topic",
+        F.when(stay, target if target is not None else F.col("source_topic")).otherwise(text("merged_topic", F.col("source_topic"))).alias("merged_topic"),
+        F.when(stay, "").otherwise(text("merged_description", F.col("_told"))).alias("merged_description"),
+        F.when(stay, reason).otherwise(text("merge_reason", F.lit("itself"))).alias("merge_reason"),
+    )

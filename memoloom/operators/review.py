@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..config import DECISION_ACTIONS, DECISION_STATUSES
 from ..functions.identity import GROUP, VERSION, surrogate_key
 from ..schemas import conform, require, schema
 from .rows import latest
@@ -12,6 +13,9 @@ from .rows import latest
 KEY = (*GROUP, "memo_id", *VERSION)
 
 
+# The names of states and actions below stand in stored tables and in their readers.
+
+
 def from_reassignments(df: DataFrame, source: str = "classification_detail") -> DataFrame:
     """Pending decisions of proposed topics; the id follows the content, so that a rerun gives the same ids."""
     kind = F.lit("reassign_existing_topic")
@@ -70,6 +74,29 @@ def overlay(detail: DataFrame, decisions: DataFrame, others: str = "기타") ->
     return joined.select(*[new.get(c, F.col(c)).alias(c) for c in detail.columns])
 
 
+def checked(status: str, action: str = "") -> None:
+    """ValueError for a status or an action that no reader of decisions knows; no action is allowed."""
+    if status not in DECISION_STATUSES:
+        raise ValueError(f"decision status {status!r} is none of {DECISION_STATUSES}")
+    if action and action not in DECISION_ACTIONS:
+        raise ValueError(f"approved action {action!r} is none of {DECISION_ACTIONS}")
+
+
+def updated(decisions: DataFrame, which: Column, status: str, reviewed_at: str, action: str = "", topic: str | None = None, reviewer: str | None = None, comment: str | None = None) -> DataFrame:
+    """All decisions, those for which ``which`` holds with a new status and what comes with it; the rest as it was."""
+    checked(status, action)
+    hit = F.coalesce(which, F.lit(False))
+    given = {"decision_status": status, "approved_action": action or None, "approved_topic": topic, "reviewer": reviewer, "review_comment": comment, "reviewed_at": reviewed_at}
+    return decisions.withColumns({c: F.when(hit, F.lit(v)).otherwise(F.col(c)) for c, v in given.items() if v is not None})
+
+
+def applied_counts(detail: DataFrame, decisions: DataFrame, keys: tuple[str, ...] = GROUP) -> DataFrame:
+    """What :func:`overlay` does, by group: rows, rows reassigned and rows kept without a topic."""
+    stage = F.col("classification_stage")
+    out = overlay(detail.withColumn("classification_stage", F.lit(None).cast("string")), decisions)
+    return out.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_cnt"), F.count_if(stage == "human_fallback_reassign").alias("reassigned_cnt"), F.count_if(stage == "human_fallback_keep_others").alias("kept_cnt"))
+
+
 def revisions(decisions: DataFrame) -> DataFrame:
     """Proposals for the topic pool from approved decisions that add or revise topics."""
     ok = decisions.where((F.col("decision_status") == "approved") & F.col("approved_action").isin("create_new_topic", "revise_topic_pool"))

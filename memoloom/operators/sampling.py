@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.identity import GROUP, sampling_key, text_or_empty
+from ..functions.identity import GROUP, sampling_key
 from ..functions.text import length_bucket
 from .rows import first_by
 
@@ -52,5 +52,6 @@ def diverse_sample(df: DataFrame, rows: int, base_rows: int, seed: str) -> DataF
     return first_by(turn, GROUP, [F.asc("within_rn"), sampling_key("stratum", "memo_id", F.lit(seed)), F.asc("memo_id")], rows, "prompt_rn").drop("stratum", "within_rn")
 
 
-def keyed(df: DataFrame, *parts: str, seed: str, name: str = "sampling_key") -> DataFrame:
-    return df.withColumn(name, sampling_key(*[text_or_empty(p) for p in parts], F.lit(seed)))
+def preview(df: DataFrame, n: int, seed: str, *parts: str) -> DataFrame:
+    """``n`` rows that look picked at random but are the same each time, by a hash of ``parts`` and the seed."""
+    return df.orderBy(sampling_key(*parts, F.lit(seed)), *[F.asc_nulls_first(p) for p in parts]).limit(n)

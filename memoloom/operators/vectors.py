@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.identity import GROUP, VERSION, sampling_key
-from ..functions.numbers import dot, ratio, unit
+from ..functions.numbers import dot, unit
 from .rows import first_by
 
 TOPIC = (*GROUP, *VERSION, "pred_topic", "embedding_model")
@@ -92,7 +92,7 @@ def confusion(routed: DataFrame) -> DataFrame:
     return routed.groupBy(*GROUP, "true_topic", "prototype_topic").agg(F.count(F.lit(1)).alias("row_cnt"), F.avg("similarity").alias("avg_similarity"))
 
 
-def topic_similarity(df: DataFrame, per_topic: int, seed: str = "42") -> DataFrame:
+def topic_similarity(df: DataFrame, per_topic: int = 20, seed: str = "42") -> DataFrame:
     """Similarity of pairs of memos of a group within a topic and between topics: count, mean, median.
 
     At most ``per_topic`` memos of each topic by hash, which bounds the pairs of a topic; this is the report's
@@ -105,7 +105,3 @@ def topic_similarity(df: DataFrame, per_topic: int, seed: str = "42") -> DataFra
     kind = F.when(F.col("ta") == F.col("tb"), "intra").otherwise("inter").alias("pair_type")
     return pairs.groupBy(*GROUP, kind).agg(F.count(F.lit(1)).alias("pair_cnt"), F.avg("similarity").alias("avg_similarity"), F.percentile("similarity", 0.5).alias("median_similarity"))
 
-
-def confidence_share(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_cnt"))
-    return n.withColumn("share", ratio(F.col("row_cnt"), F.sum("row_cnt").over(Window.partitionBy(*keys[:-1]))))

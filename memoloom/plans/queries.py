@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..boundary import HashEncoder, RuleModel, TermModel, design_pools, design_profiles, encode, model_fallback
+from ..boundary import HashEncoder, RuleModel, TermModel, category_seeds, design_pools, design_profiles, encode, merge_proposals, model_fallback, overall_examples, reference_topics
+from ..config import Settings
 from ..functions import text
 from ..functions.identity import GROUP, VERSION, memo_id, normalize_memo, sampling_key, surrogate_key, with_memo_id
 from ..operators import classify as cl
@@ -16,6 +17,7 @@ from ..operators import vectors as vec
 from ..schemas import TABLES, conform, schema
 from ..sources.registry import Registry, eligible
 from ..sources.store import replaced
+from . import pipeline
 
 SEED, CLASSIFY_SEED = "seed_20260420", "seed_20260707"
 GV = [*GROUP, *VERSION]
@@ -135,6 +137,26 @@ def f15_json_list(t):
     return t.pool.select(*GROUP, "topic_order", F.size(text.json_list(F.col("representative_memos_json"))).alias("memos"))
 
 
+@query
+def f7_term_list(t):
+    return t.pool.select(*GROUP, "topic_order", F.array_join(text.term_list(F.split("description", " "), 5), "|").alias("terms"))
+
+
+@query
+def f9_f13_terms(t):
+    """A memo against the words of its topic: substring, phrase, phrases and words taken out, nearness."""
+    d = t.detail.where("pred_topic is not null").select("detail_id", "memo", F.split(F.lower("pred_topic"), " ").alias("_t"))
+    d = d.withColumns({"_low": F.lower(text.clean(F.col("memo"))), "_terms": text.by_length(text.low_terms(F.col("_t"))), "_p": text.phrase(F.col("memo"))})
+    return d.select(
+        "detail_id",
+        text.has_any(F.col("_low"), F.col("_terms")).alias("said"),
+        F.col("_p").alias("phrase"),
+        text.without(text.spaced(F.col("_p")), text.phrases(F.col("_terms"))).alias("rest"),
+        text.stripped(F.col("_low"), F.col("_terms")).alias("stripped"),
+        text.near(F.col("_low"), text.token_list(F.col("memo")), F.slice("_terms", 1, 1), F.slice("_terms", 2, 1), 4, 20).alias("near"),
+    )
+
+
 @query
 def f19_stratum(t):
     return sampling.with_stratum(t.memos).groupBy(*GROUP, "stratum").agg(F.count(F.lit(1)).alias("row_cnt"))
@@ -165,17 +187,17 @@ def a1_groups(t):
 
 @query
 def w3_group_sample(t):
-    return sampling.group_sample(sampling.dedupe_for_classification(t.memos, "detail_id"), 50, SEED, "rn").select(*GROUP, "memo_id", "rn")
+    return sampling.group_sample(sampling.dedupe_for_classification(t.memos, "detail_id"), 1000, SEED, "rn").select(*GROUP, "memo_id", "rn")
 
 
 @query
 def w4_w5_diverse_sample(t):
-    return sampling.diverse_sample(sampling.dedupe_for_classification(t.memos, "detail_id"), 20, 800, SEED).select(*GROUP, "memo_id", "prompt_rn")
+    return sampling.diverse_sample(sampling.dedupe_for_classification(t.memos, "detail_id"), 200, 800, SEED).select(*GROUP, "memo_id", "prompt_rn")
 
 
 @query
 def o1_hash_sample(t):
-    return sampling.hash_order_sample(sampling.dedupe_for_classification(t.memos, "detail_id"), 30, CLASSIFY_SEED).select(*GROUP, "memo_id")
+    return sampling.hash_order_sample(sampling.dedupe_for_classification(t.memos, "detail_id"), 1000, CLASSIFY_SEED).select(*GROUP, "memo_id")
 
 
 @query
@@ -211,6 +233,26 @@ def a4_summary(t):
     return report.summary(t.detail)
 
 
+@query
+def a4_rounded(t):
+    return report.rounded(report.summary(t.detail)).select(*GV, "pred_topic", "pred_topic_type", "topic_ratio", "topic_pct")
+
+
+@query
+def a22_counts(t):
+    return rows.counted(t.detail, F.col("review_needed_yn") & (F.col("pred_topic_type") == "others"))
+
+
+@query
+def listing_filter(t):
+    return rows.matching(t.detail, {"sc_measurement": -1, "pred_topic_type": "topic", "run_id": None}, {"memo": "The", "pred_topic": " "}).select("detail_id")
+
+
+@query
+def o8_preview(t):
+    return sampling.preview(t.detail, 30, "42", "detail_id").select("detail_id")
+
+
 @query
 def a5_others(t):
     return report.others_summary(t.detail)
@@ -224,8 +266,9 @@ def a6_candidates(t):
 
 @query
 def a7_candidates_distinct(t):
-    c = report.new_topic_candidates(t.detail, 2, 0.0, 2, GROUP)
-    return c.select(*GROUP, "memo_norm", "candidate_cnt", "distinct_memo_id_cnt")
+    """Over labels as they were written, whose ids come from several normalisers, so that a text has several."""
+    c = report.new_topic_candidates(t.detail.withColumn("memo_norm", normalize_memo("memo")), 1, 0.0, 2, ("sc_measurement",))
+    return c.select("sc_measurement", "memo_norm", "candidate_cnt", "distinct_memo_id_cnt", "candidate_ratio")
 
 
 @query
@@ -383,6 +426,13 @@ def k4_replace_ids(t):
     return replaced(d, d.where("decision_status = 'pending'").withColumn("decision_status", F.lit("hold")), ("decision_id",))
 
 
+@query
+def k8_decision_update(t):
+    d = t.r.read("review_decision")
+    out = review.updated(d, (F.col("decision_status") == "pending") & (F.coalesce("suggested_topic", F.lit("")) == ""), "rejected", "2026-01-01", reviewer="console")
+    return out.select("decision_id", "decision_status", "reviewer", "reviewed_at", "approved_action")
+
+
 @query
 def k15_conform(t):
     return conform(t.detail, schema("classification_summary")).groupBy(*GROUP, "pred_topic").agg(F.count(F.lit(1)).alias("rows"), F.count("topic_cnt").alias("topic_cnts"))
@@ -401,10 +451,21 @@ def a10_repeats(t):
     return vec.quality(t.r.read("memo_embedding"))["repeats"]
 
 
+@query
+def a10_overall(t):
+    return vec.quality(t.r.read("memo_embedding"))["overall"]
+
+
+@query
+def a10_sparse(t):
+    return vec.quality(t.r.read("memo_embedding"))["sparse"]
+
+
 @query
 def e6_prototypes(t):
-    p = vec.prototypes(t.vectors)
-    return p.select(*vec.TOPIC, "memo_cnt", "distinct_memo_cnt", F.round("avg_confidence", 6).alias("avg_confidence"), F.round(F.element_at("prototype", 1), 6).alias("x1"), F.round(F.element_at("prototype", 64), 6).alias("x64"))
+    """Every element of every prototype, one row each."""
+    p = vec.prototypes(t.vectors).select(*vec.TOPIC, "memo_cnt", "distinct_memo_cnt", F.round("avg_confidence", 6).alias("avg_confidence"), F.posexplode("prototype").alias("pos", "x"))
+    return p.withColumn("x", F.round("x", 6))
 
 
 def _routed(t):
@@ -416,6 +477,12 @@ def e7_nearest(t):
     return _routed(t).select(*GV, "memo_id", "true_topic", "prototype_topic", F.round("similarity", 6).alias("similarity"), "prototype_route")
 
 
+@query
+def o5_top_prototypes(t):
+    best = F.from_json("top_json", "array<struct<rank:int,topic:string,similarity:double>>")
+    return _routed(t).select(*GV, "memo_id", F.inline(best)).select(*GV, "memo_id", "rank", "topic", F.round("similarity", 5).alias("similarity"))
+
+
 @query
 def a13_e8_evaluation(t):
     e = vec.evaluate(_routed(t), GROUP)
@@ -429,14 +496,15 @@ def e8_confusion(t):
 
 @query
 def a14_e9_similarity(t):
-    s = vec.topic_similarity(t.vectors, 5)
+    s = vec.topic_similarity(t.vectors)
     return s.select(*GROUP, "pair_type", "pair_cnt", F.round("avg_similarity", 6).alias("avg_similarity"), F.round("median_similarity", 6).alias("median_similarity"))
 
 
 @query
 def e1_encode(t):
     d = sampling.dedupe_for_classification(t.memos, "detail_id").select(*GROUP, "memo_id", "memo")
-    return encode(d, HashEncoder()).select("memo_id", "embedding_model", "embedding_dim", F.size("embedding").alias("n"))
+    e = encode(d, HashEncoder()).select("memo_id", "embedding_model", "embedding_dim", F.posexplode("embedding").alias("pos", "x"))
+    return e.where("x <> 0").withColumn("x", F.round(F.col("x").cast("double"), 4))
 
 
 def _samples(t):
@@ -445,14 +513,39 @@ def _samples(t):
     return sampling.diverse_sample(large, 200, 800, SEED).select(*GROUP, "memo", "prompt_rn")
 
 
+@query
+def l5_seeds(t):
+    seeds = category_seeds(_samples(t), TermModel())
+    return seeds.select(*GROUP, "category_summary", *[F.array_join(text.json_list(F.col(c)), "|").alias(c[:-5]) for c in ("feature_hint_terms_json", "candidate_topic_labels_json", "sample_non_overall_memos_json")])
+
+
 @query
 def l6_profiles(t):
-    return design_profiles(_samples(t), TermModel())
+    p = design_profiles(_samples(t), TermModel())
+    return p.select(*GROUP, "overall_topic_name", *[F.array_join(text.json_list(F.col(f"{c}_json")), "|").alias(c) for c in ("overall_sentiment_terms", "feature_hint_terms", "reason_signal_terms", "non_overall_examples")])
 
 
 @query
 def l7_pools(t):
-    return design_pools(_samples(t), TermModel())
+    p = design_pools(_samples(t), TermModel())
+    return p.select(*GROUP, "topic_order", "topic", "description", F.array_join(text.json_list(F.col("representative_memos_json")), "|").alias("memos"), "topic_count", F.col("error").isNotNull().alias("failed"))
+
+
+@query
+def l9_references(t):
+    return reference_topics(dims.topics(t.pool))
+
+
+@query
+def l9_examples(t):
+    terms = dims.group_terms(dims.profiles(t.profile), dims.topics(t.pool))
+    return overall_examples(terms).select(*GROUP, F.array_join("examples", "|").alias("examples"))
+
+
+@query
+def l10_mapping(t):
+    target = dims.overall_name(F.col("sc_measurement"))
+    return joins.complete_mapping(t.pool, merge_proposals(t.pool, TermModel()), F.contains("source_topic", target), target)
 
 
 # Classification and review
@@ -465,9 +558,10 @@ def _classified(t):
 
 @query
 def c4_c5_overall(t):
-    topics = dims.topics(t.pool)
     d = sampling.dedupe_for_classification(t.memos, "detail_id").select(*cl.MEMO)
-    return cl.overall(d, dims.group_terms(dims.profiles(t.profile), topics)).select(*GROUP, "memo_id", "rule")
+    words = dims.Dictionaries(connectors=dims.frequent_words(eligible(t.raw)))
+    terms = dims.group_terms(dims.profiles(t.profile), dims.topics(t.pool, words), words)
+    return cl.overall(d, terms, d=words).select(*GROUP, "memo_id", "rule")
 
 
 @query
@@ -481,8 +575,10 @@ def c7_overlap(t):
 
 @query
 def c7_candidates(t):
-    d = sampling.dedupe_for_classification(t.memos, "detail_id").select(*cl.MEMO).withColumn("feature_hint_terms", F.array().cast("array<string>")).withColumn("overall_topic_name", F.lit(""))
-    return cl.candidates(d, dims.topics(t.pool))
+    d = sampling.dedupe_for_classification(t.memos, "detail_id").select(*cl.MEMO)
+    d = d.join(dims.profiles(t.profile).select(*GROUP, "feature_hint_terms", "overall_topic_name"), list(GROUP))
+    found = cl.candidates(d, dims.topics(t.pool))
+    return found.select(*GROUP, "memo_id", F.posexplode("shortlist").alias("place", "c")).select(*GROUP, "memo_id", "place", "c.topic", "c.score")
 
 
 @query
@@ -490,32 +586,83 @@ def c8_c11_classify(t):
     return _classified(t)
 
 
+@query
+def c11_counts(t):
+    return cl.counts(_classified(t))
+
+
 @query
 def l4_model_fallback(t):
     topics = dims.topics(t.pool)
     return cl.rescue(model_fallback(_classified(t), topics, RuleModel()), topics)
 
 
+@query
+def c9_rescue(t):
+    d = t.detail.where("classification_stage = 'llm_fallback'")
+    return cl.rescue(d, dims.topics(t.pool)).select("detail_id", "pred_topic", "pred_topic_type", "classification_stage", "review_needed_yn", "match_reason")
+
+
+@query
+def c10_normalized(t):
+    out = cl.normalized(t.detail, Settings(run_id="run_1", run_date="20260101"), {"prompt_version": "v1"}, "2026-01-01")
+    return out.select("detail_id", "pred_topic", "pred_topic_type", "classification_stage", "confidence_score", "llm_used_yn", "review_needed_yn", "match_reason", "prompt_version", "run_id", "is_latest")
+
+
 @query
 def c15_reassign(t):
-    return cl.reassignments(t.latest.where("pred_topic_type = 'others'"), dims.topics(t.pool))
+    return cl.reassignments(t.latest, dims.topics(t.pool))
 
 
 @query
 def r1_r2_decisions(t):
-    a = review.from_reassignments(cl.reassignments(t.latest.where("pred_topic_type = 'others'"), dims.topics(t.pool)))
+    a = review.from_reassignments(cl.reassignments(t.latest, dims.topics(t.pool)))
     b = review.from_candidates(report.new_topic_candidates(t.detail, 2, 0.0))
     return rows.union(a, b).select("decision_id", "candidate_type", *GROUP, "suggested_topic", "decision_status")
 
 
+@query
+def r3_edits(t):
+    """Reviewers' rows, as which the approved decisions stand, over the latest labels."""
+    edits = review.approved(t.r.read("review_decision")).where("approved_action = 'keep_others' or trim(coalesce(approved_topic, '')) <> ''")
+    edits = rows.first_by(edits, ["memo_id"], [F.asc("decision_id")]).select("memo_id", "approved_action", "approved_topic", "reviewer", "review_comment")
+    d = rows.latest(t.detail, [*GV, "memo_id"], ["is_latest", "created_at", "run_id"], ["detail_id"])
+    return review.from_edits(d, edits, "2026-01-01").select("decision_id", *GROUP, "memo_id", "current_pred_topic", "approved_action", "approved_topic", "decision_status")
+
+
 @query
 def r4_overlay(t):
-    return review.overlay(t.detail, t.r.read("review_decision")).select("detail_id", "pred_topic", "pred_topic_type", "classification_stage", "confidence_score", "review_needed_yn")
+    return review.overlay(t.detail, t.r.read("review_decision")).select("detail_id", "pred_topic", "pred_topic_type", "classification_stage", "confidence_score", "review_needed_yn", "match_reason")
+
+
+@query
+def r5_applied(t):
+    return review.applied_counts(t.detail, t.r.read("review_decision"))
 
 
 @query
 def r6_revisions(t):
-    return review.revisions(t.r.read("review_decision")).select("source_decision_id", "revision_type", "proposed_topic")
+    r = review.revisions(t.r.read("review_decision"))
+    return r.select("revision_id", "source_decision_id", "revision_type", *GROUP, "proposed_topic", "proposed_description", "representative_memos_json", "revision_status")
+
+
+@query
+def r7_refinement(t):
+    """How many rows each part of the report has, by group."""
+    parts = pipeline.refinement_report(t.latest, t.pool, Settings().updated({"reporting": {"refine_min_count": 2, "refine_min_ratio": 0.0}}))
+    return rows.union(*[report.by(df.withColumn("part", F.lit(name)), "part", *GROUP) for name, df in parts.items()])
+
+
+@query
+def r8_others(t):
+    parts = pipeline.others_report(t.detail, Settings().updated({"reporting": {"others_min_count": 2}}))
+    return rows.union(*[report.by(df.withColumn("part", F.lit(name)), "part", *GROUP) for name, df in parts.items()])
+
+
+@query
+def r9_manual(t):
+    typed = t.r.read("review_decision").select(*GROUP, "memo_id", "approved_topic", "reviewer")
+    return review.manual(typed, "2026-01-01").select("decision_id", "memo_id", "approved_action", "approved_topic", "decision_status")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -40,6 +40,20 @@ def empty(spark: SparkSession, name: str) -> DataFrame:
     return spark.createDataFrame([], schema(name))
 
 
+def from_rows(spark: SparkSession, rows: list[dict], name: str) -> DataFrame:
+    """A frame of a table's columns from rows as dicts, for small dimensions: missing keys are null, others dropped;
+    a value of the wrong type is an error."""
+    to = schema(name)
+    return spark.createDataFrame([tuple(r.get(f.name) for f in to) for r in rows], to)
+
+
+def from_pandas(spark: SparkSession, frame, name: str) -> DataFrame:
+    """The same from a pandas frame; its missing values are null."""
+    import pandas as pd
+
+    return from_rows(spark, [{k: None if v is None or v is pd.NA or v is pd.NaT or v != v else getattr(v, "item", lambda v=v: v)() for k, v in r.items()} for r in frame.to_dict("records")], name)
+
+
 def conform(df: DataFrame, to: T.StructType) -> DataFrame:
     """Exactly the columns of ``to``, in order and cast; missing ones are null, others are dropped."""
     have = {c.lower() for c in df.columns}

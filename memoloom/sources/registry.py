@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.numbers import without_nan
+
 BLANK = ("", "none", "null", "*")
 
 
@@ -16,6 +18,7 @@ class Registry:
 
     spark: SparkSession
     places: dict[str, str] = field(default_factory=dict)
+    _read: dict[str, DataFrame] = field(default_factory=dict, repr=False)
 
     @classmethod
     def of_folder(cls, spark: SparkSession, folder: str, names: list[str] | tuple[str, ...]) -> Registry:
@@ -35,8 +38,11 @@ class Registry:
         return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
     def read(self, key: str) -> DataFrame:
-        place = self.place(key)
-        return self.spark.table(place[6:]) if place.startswith("table:") else self.spark.read.parquet(place)
+        """The table, as it was found first; NaN in its columns of doubles is null from here on."""
+        if key not in self._read:
+            place = self.place(key)
+            self._read[key] = without_nan(self.spark.table(place[6:]) if place.startswith("table:") else self.spark.read.parquet(place))
+        return self._read[key]
 
     def scan(self, key: str, filters: dict | None = None, snippets: tuple[str, ...] = ()) -> DataFrame:
         """A table under equality filters (None: no filter) and configured predicates, all of which push down."""

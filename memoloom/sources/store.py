@@ -1,11 +1,13 @@
 """Parquet tables that can be replaced by key: every change is a new version, made visible by one rename.
 
-A table is a folder with one folder for each version and a file that names the current one. Readers of an
-older version keep it; a writer may read the table that it replaces.
+A version is a list of folders of parquet files, its parts; a small file names the current version and those before
+it that are kept. An append adds a part to the list, so that it shows as a whole or not at all; other changes write
+one new part. Readers of an older version keep it while it is kept; a writer may read the table that it replaces.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +17,7 @@ from pyspark.sql import types as T
 from ..schemas import conform
 
 MODES = ("overwrite", "append", "replace")
+MOST_PARTS = 64
 
 
 class Store:
@@ -24,49 +27,48 @@ class Store:
         self._path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _current(self, name: str) -> str | None:
+    def _versions(self, name: str) -> list[list[str]]:
+        """The parts of the current version, then of those before it; none if there is no table."""
         pointer = self._path(f"{self.folder}/{name}/_current")
         if not self._fs.exists(pointer):
-            return None
+            return []
         stream = self._fs.open(pointer)
         try:
-            return bytes(stream.readAllBytes()).decode()
+            return json.loads(bytes(stream.readAllBytes()).decode())
         finally:
             stream.close()
 
     def exists(self, name: str) -> bool:
-        return self._current(name) is not None
+        return bool(self._versions(name))
 
     def read(self, name: str) -> DataFrame:
         """The current version; parts that were appended with more columns merge by name."""
-        if (version := self._current(name)) is None:
+        if not (versions := self._versions(name)):
             raise KeyError(f"no table {name!r} in {self.folder}")
-        return self.spark.read.option("mergeSchema", "true").parquet(f"{self.folder}/{name}/{version}")
+        return self.spark.read.option("mergeSchema", "true").parquet(*[f"{self.folder}/{name}/{p}" for p in versions[0]])
 
     def create(self, name: str, schema: T.StructType) -> None:
         """Makes an empty table unless it is there."""
         if not self.exists(name):
             self._swap(name, self.spark.createDataFrame([], schema))
 
-    def _swap(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
-        version, old = uuid.uuid4().hex, self._current(name)
-        df.write.partitionBy(*partition_by).parquet(f"{self.folder}/{name}/{version}") if partition_by else df.write.parquet(f"{self.folder}/{name}/{version}")
-        temporary = self._path(f"{self.folder}/{name}/_next_{version}")
+    def _swap(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = (), beside: list[str] | None = None) -> None:
+        """Writes a part and makes it, with the parts ``beside`` it, the current version."""
+        part, old = uuid.uuid4().hex, self._versions(name)
+        (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(f"{self.folder}/{name}/{part}")
+        versions = [[*(beside or []), part], *old][: self.keep]
+        temporary = self._path(f"{self.folder}/{name}/_next_{part}")
         out = self._fs.create(temporary, True)
-        out.write(bytearray(version.encode()))
+        out.write(bytearray(json.dumps(versions).encode()))
         out.close()
         jvm = self.spark.sparkContext._jvm
         context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
         options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
         options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
         context.rename(temporary, self._path(f"{self.folder}/{name}/_current"), options)
-        self._forget(name, {version, old})
-
-    def _forget(self, name: str, keep: set) -> None:
-        """Drops versions beyond those kept, the oldest first."""
-        found = sorted((s for s in self._fs.listStatus(self._path(f"{self.folder}/{name}")) if s.isDirectory() and s.getPath().getName() not in keep), key=lambda s: -s.getModificationTime())
-        for s in found[max(0, self.keep - len(keep - {None})) :]:
-            self._fs.delete(s.getPath(), True)
+        kept = {p for v in versions for p in v}
+        for gone in {p for v in old for p in v} - kept:  # parts of the oldest version, which no kept one has
+            self._fs.delete(self._path(f"{self.folder}/{name}/{gone}"), True)
 
     def write(self, name: str, df: DataFrame, mode: str = "append", keys: tuple[str, ...] = (), schema: T.StructType | None = None, partition_by: tuple[str, ...] = ()) -> None:
         """overwrite: as it is. append: adds a part, with new columns if it has any; makes the table if absent.
@@ -77,7 +79,11 @@ class Store:
         if mode == "overwrite" or not self.exists(name):
             self._swap(name, new, partition_by)
         elif mode == "append":
-            new.write.mode("append").parquet(f"{self.folder}/{name}/{self._current(name)}")
+            parts = self._versions(name)[0]
+            if len(parts) < MOST_PARTS:
+                self._swap(name, new, partition_by, parts)
+            else:  # many small parts become one
+                self._swap(name, self.read(name).unionByName(new, allowMissingColumns=True), partition_by)
         else:
             if not keys:
                 raise ValueError("replace needs keys")

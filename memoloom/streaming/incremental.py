@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,11 +23,3 @@ def classify_stream(spark: SparkSession, folder: str, schema: T.StructType, prof
     source = spark.readStream.schema(schema).parquet(folder)
     return source.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
-
-def topic_counts(stream: DataFrame, at: str = "event_time", late: str = "1 hour", width: str = "1 hour") -> DataFrame:
-    """Rows by window and topic; rows later than ``late`` are no longer waited for."""
-    return stream.withWatermark(at, late).groupBy(F.window(at, width).alias("w"), "pred_topic").agg(F.count(F.lit(1)).alias("row_cnt")).select(F.col("w.start").alias("window_start"), "pred_topic", "row_cnt")
-
-
-def each_batch(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str):
-    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

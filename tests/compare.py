@@ -1,10 +1,12 @@
 """Rows of a Spark query against those of its SQL in DuckDB, whatever their order."""
 
+import decimal
 import glob
 import math
 import os
 
 import duckdb
+import numpy as np
 
 
 def connect(folder):
@@ -15,12 +17,15 @@ def connect(folder):
 
 
 def plain(v):
-    if v is None or (isinstance(v, float) and math.isnan(v)):
-        return "~"
-    if isinstance(v, bool) or str(v) in ("True", "False"):
+    """Null, NaN, booleans, whole numbers and others stay apart; floats to ten digits, which sums in another order keep."""
+    if v is None:
+        return "null"
+    if isinstance(v, (bool, np.bool_)):
         return str(bool(v))
-    if isinstance(v, (int, float)) or hasattr(v, "dtype"):
-        return f"{float(v):.6g}"
+    if isinstance(v, (int, np.integer)):
+        return str(int(v))
+    if isinstance(v, (float, np.floating, decimal.Decimal)):
+        return "nan" if math.isnan(v) else f"{float(v) + 0.0:.10g}f"
     return str(v)
 
 

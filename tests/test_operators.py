@@ -207,13 +207,131 @@ def test_pipeline_resumes(spark, store, data):
     enc = boundary.HashEncoder()
     added = pipeline.embed_new(store, s, enc, "now")
     assert added > 0 and pipeline.embed_new(store, s, enc, "now") == 0
+    assert pipeline.attempts(lambda: 5) == 5
     bad = Store(spark, store.folder + "_bad")
-    with pytest.raises(Exception):
+    with pytest.raises(Exception):  # what stops the plan is no group's failure
         pipeline.classify_all(bad, raw, **{**kw, "profile": t.profile.withColumn("overall_sentiment_terms_json", F.raise_error(F.lit("boom")).cast("string"))})
-    key = pipeline.checkpoint_key("classification", versions, {})
-    assert pipeline.failures(bad.read("pipeline_progress"), key).count() > 0
-    assert pipeline.done_groups(bad.read("pipeline_progress"), key).count() == 0
-    assert pipeline.attempts(lambda: 5) == 5
+    assert not bad.exists("pipeline_progress")
+
+
+def test_one_group_fails_alone(spark, store):
+    class Broken(boundary.RuleModel):
+        """Fails for memos of one group, which name it."""
+
+        def complete(self, system, user, options):
+            if "broken" in user:
+                raise ValueError("no answer")
+            return super().complete(system, user, options)
+
+    raw = spark.createDataFrame([("01. Sound", c, 1, f"{m} zzz {c}") for c in ("01-01. Fine", "01-02. broken") for m in ("a", "b")], f"{G}, memo string")
+    raw = raw.withColumns({c: F.lit("1") for c in ("year", "country", "brand_name", "device_type")})
+    names = raw.select(*GROUP).distinct()
+    prof = names.withColumns({"overall_topic_name": F.lit("O"), **{f"{c}_json": F.lit('["x"]') for c in ("overall_sentiment_terms", "feature_hint_terms", "reason_signal_terms")}})
+    kw = dict(profile=prof, pool=names.withColumns({"topic": F.lit("Topic"), "description": F.lit(""), "representative_memos_json": F.lit("[]")}), settings=Settings(run_id="r"), versions=dict.fromkeys(VERSION, "v"), at="now", model=Broken(), min_size=1, sleep=lambda _: None)
+    key = pipeline.checkpoint_key("classification", kw["versions"], {})
+    for turn in (1, 2, 3):
+        out = pipeline.classify_all(store, raw, **kw).collect()
+        assert {r["cate_2_depth"] for r in out} == {"01-01. Fine"} and len(out) == 2
+        progress = store.read("pipeline_progress")
+        assert [r["cate_2_depth"] for r in pipeline.done_groups(progress, key).collect()] == ["01-01. Fine"]
+        assert [(r["cate_2_depth"], r["failed_cnt"]) for r in pipeline.failures(progress, key).collect()] == [("01-02. broken", min(turn, 2))]  # then it is given up
+    causes = pipeline.failure_causes(progress, key).collect()
+    assert len(causes) == 1 and "no answer" in causes[0]["cause"] and causes[0]["group_cnt"] == 1
+
+
+def test_decisions_are_applied_to_their_groups_alone(spark, store):
+    v = dict.fromkeys(VERSION, "v")
+    rows_ = [("a", "b", 1, "m1", "x"), ("a", "b", 1, "m2", "y"), ("c", "d", 1, "m1", "z")]
+    detail = spark.createDataFrame(rows_, f"{G}, memo_id string, pred_topic string").withColumns({**{k: F.lit(x) for k, x in v.items()}, "pred_topic_type": F.lit("others"), "run_id": F.lit("old")})
+    store.write("classification_full", conform(detail, schema("classification_full")), "overwrite")
+    decision = spark.createDataFrame([("1", "a", "b", 1, "m1", "reassign_existing_topic", "T"), ("2", "a", "b", 1, "m2", "keep_others", None)], f"decision_id string, {G}, memo_id string, approved_action string, approved_topic string")
+    decision = decision.withColumns({**{k: F.lit(x) for k, x in v.items()}, "decision_status": F.lit("approved")})
+    store.write("review_decision", conform(decision, schema("review_decision")), "overwrite")
+    got = pipeline.apply_decisions(store, Settings(run_id="new"), "now")
+    assert got == {"input_rows": 3, "approved_decisions": 2, "output_rows": 3, "reassigned_rows": 1, "kept_others_rows": 1}
+    assert {(r["cate_1_depth"], r["memo_id"]): (r["pred_topic"], r["run_id"]) for r in store.read("classification_full").collect()} == {("a", "m1"): ("T", "new"), ("a", "m2"): ("기타", "new"), ("c", "m1"): ("z", "old")}
+
+
+def test_decision_states_are_checked(spark):
+    d = conform(spark.createDataFrame([("1", "pending"), ("2", "hold")], "decision_id string, decision_status string"), schema("review_decision"))
+    out = {r["decision_id"]: r for r in review.updated(d, F.col("decision_id") == "1", "approved", "now", "keep_others", reviewer="me").collect()}
+    assert (out["1"]["decision_status"], out["1"]["approved_action"], out["1"]["reviewer"]) == ("approved", "keep_others", "me") and out["2"]["decision_status"] == "hold"
+    for bad in (("done",), ("approved", "now", "drop")):
+        with pytest.raises(ValueError):
+            review.updated(d, F.lit(True), bad[0], "now", bad[2] if len(bad) > 2 else "")
+
+
+def test_appends_are_versions_of_their_own(spark, store, monkeypatch):
+    df = lambda x: spark.createDataFrame([(x,)], "v int")
+    store.write("t", df(1), "append")
+    before = store.read("t")
+    store.write("t", df(2), "append")
+    assert before.count() == 1 and store.read("t").count() == 2
+    monkeypatch.setattr("memoloom.sources.store.MOST_PARTS", 2)
+    store.write("t", df(3), "append")
+    assert sorted(r["v"] for r in store.read("t").collect()) == [1, 2, 3] and len(store._versions("t")[0]) == 1
+
+
+def test_rows_and_frames_become_tables(spark):
+    import pandas as pd
+
+    from memoloom.schemas import from_pandas, from_rows
+
+    rows_ = [{"cate_1_depth": "a", "cate_2_depth": None, "junk": 1}]
+    assert [tuple(r) for r in from_rows(spark, rows_, "category_mapping").collect()] == [("a", None, None, None)]
+    got = from_pandas(spark, pd.DataFrame({"sc_measurement": [1], "cate_1_depth": ["a"], "topic_order": [2], "topic": [float("nan")]}), "topic_pool").first()
+    assert (got["sc_measurement"], got["topic_order"], got["topic"]) == (1, 2, None)
+
+
+def test_merge_mapping_is_complete(spark):
+    p = spark.createDataFrame([("a", "b", 1, 1, t, d) for t, d in (("Sound low", "x"), ("Sound bad", None), ("Overall good", ""), ("Other", "y"))], f"{G}, topic_order int, topic string, description string")
+    target = F.lit("Overall good")
+    lock = joins.locked_topic(F.col("source_topic"), F.col("_told"), target, ("praise",), ("vague",))
+    got = {r["source_topic"]: r["merged_topic"] for r in joins.complete_mapping(p, boundary.merge_proposals(p, boundary.TermModel()), lock, target).collect()}
+    assert got == {"Sound low": "Sound", "Sound bad": "Sound", "Overall good": "Overall good", "Other": "Other"}
+    none = spark.createDataFrame([("a", "b", 1, "Nowhere", "X", "", "")], f"{G}, source_topic string, merged_topic string, merged_description string, merge_reason string")
+    assert {r["source_topic"]: r["merged_topic"] for r in joins.complete_mapping(p, none).collect()} == {t: t for t in got}
+    marks = spark.createDataFrame([("much praise", "a vague one"), ("much praise", "of sound"), ("Overall good", "")], "n string, d string")
+    assert [r[0] for r in marks.select(joins.locked_topic(F.col("n"), F.col("d"), target, ("praise",), ("vague",))).collect()] == [True, False, True]
+
+
+def test_known_seeds_are_not_asked_for(spark):
+    samples = spark.createDataFrame([("a", "b", 1, "sound sound", 1), ("c", "d", 1, "remote works", 1)], f"{G}, memo string, prompt_rn int")
+    known = spark.createDataFrame([("a", "b", 1, '["k"]')], f"{G}, feature_hint_terms_json string")
+    got = {r["cate_1_depth"]: r for r in boundary.category_seeds(samples, boundary.TermModel(), known).collect()}
+    assert got["a"]["is_known"] and got["a"]["feature_hint_terms_json"] == '["k"]'
+    assert not got["c"]["is_known"] and "remote" in got["c"]["feature_hint_terms_json"]
+
+
+def test_results_are_normalized(spark):
+    df = spark.createDataFrame([(None, "topic", float("nan"), "[]", None), ("T", "topic", 1.0, '[{"topic":"T","score":1.0}]' , True)], "pred_topic string, pred_topic_type string, confidence_score double, candidate_topics_json string, llm_used_yn boolean")
+    df = df.withColumns({"classification_stage": F.lit("x"), "match_reason": F.lit(None).cast("string"), "review_needed_yn": F.lit(None).cast("boolean")})
+    a, b = cl.normalized(df, Settings(), {"prompt_version": "v"}, "now").collect()
+    assert (a["pred_topic"], a["pred_topic_type"], a["confidence_score"], a["llm_used_yn"], a["review_needed_yn"]) == ("기타", "others", None, False, True)
+    assert b["pred_topic_type"] == "topic" and "T" in b["candidate_topics_json"] and b["prompt_version"] == "v"
+
+
+def test_listing_filters(spark):
+    df = spark.createDataFrame([(1, "Alpha"), (2, "beta"), (3, None)], "k int, x string")
+    assert [r["k"] for r in rows.matching(df, {"k": None, "x": " "}, {"x": "ALP"}).collect()] == [1]
+    assert rows.matching(df, {"k": 2}).count() == 1
+    assert tuple(rows.counted(df, F.col("x") == "beta").first()) == (3, 1)
+
+
+def test_settings_file_and_command_line(spark, store, tmp_path, capsys):
+    yaml = pytest.importorskip("yaml")
+    from memoloom.__main__ import main
+    from memoloom.config import load_settings
+
+    path = tmp_path / "s.yaml"
+    path.write_text(yaml.safe_dump({"sampling": {"min_group_size": 7}, "embedding": {"min_confidence": 0.0}}))
+    s = load_settings(str(path), "2026-01-02")
+    assert s.sampling.min_group_size == 7 and s.run_id == "run_20260102"
+    d = spark.createDataFrame([("a", "b", 1, "m", "good sound", "T", "topic", "heuristic_topic_match", 0.1)], f"{G}, memo_id string, memo string, pred_topic string, pred_topic_type string, classification_stage string, confidence_score double")
+    store.write("classification_detail", conform(d, schema("classification_detail")), "overwrite")
+    assert main(["embed", store.folder, "--settings", str(path), "--run-date", "2026-01-02"]) == 0
+    assert "1 new" in capsys.readouterr().out
+    assert main(["embed", store.folder, "--run-date", "2026-01-02"]) == 0 and "0 new" in capsys.readouterr().out
 
 
 def test_design(spark, store, data):

@@ -16,7 +16,7 @@ def test_equals_sql(spark, data, name):
 
 @pytest.mark.parametrize("name", NO_SQL)
 def test_runs(spark, data, name):
-    assert core.queries()[name](spark, data).columns
+    core.queries()[name](spark, data).collect()
 
 
 def test_entry(spark, data):
