@@ -1,128 +1,126 @@
-"""Lexical helpers over strings and arrays of terms; all of them stay within the JVM."""
+"""Lexical helpers over strings and arrays of terms, all of them within the JVM.
 
-from __future__ import annotations
+They take and give SQL text: a classifier's expressions have some thousand nodes, each of which would be a call from
+Python to the JVM if it were built by itself. Use them in ``F.expr`` or ``selectExpr``; a plain column name will do as
+an argument, and names in lambdas (``t``, ``i``, ...) mustn't be those of columns.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
-_JOIN = r"[^\p{L}\p{M}\p{N}_]+"
+_NONE = "cast(array() as array<string>)"
 
 
-def clean(x: Column) -> Column:
+def clean(x: str) -> str:
     """White space collapsed and trimmed; null is ''."""
-    return F.trim(F.regexp_replace(F.coalesce(x, F.lit("")), r"(?U)\s+", " "))
+    return rf"trim(regexp_replace(coalesce({x}, ''), '(?U)\\s+', ' '))"
 
 
-def tokens(x: Column) -> Column:
-    """Distinct lower-case tokens between white space."""
-    return F.array_distinct(F.filter(F.split(F.lower(clean(x)), " "), lambda t: t != ""))
+def low(x: str) -> str:
+    return f"lower({clean(x)})"
 
 
-def token_list(x: Column) -> Column:
+def token_list(x: str) -> str:
     """Lower-case tokens in order, repeats included."""
-    return F.filter(F.split(F.lower(clean(x)), " "), lambda t: t != "")
+    return f"filter(split({low(x)}, ' '), t -> t <> '')"
 
 
-def term_list(terms: Column, most: int) -> Column:
-    """Cleaned non-blank terms, the first of those that differ in case alone, at most ``most``."""
-    cleaned = F.filter(F.transform(F.coalesce(terms, F.array().cast("array<string>")), clean), lambda t: t != "")
-
-    def firsts(all_: Column) -> Column:
-        """Of the terms those whose lower case stands at their own place for the first time."""
-        return _let(F.transform(all_, F.lower), lambda low: F.filter(all_, lambda t, i: F.array_position(low, F.get(low, i)) == i + 1))
+def tokens(x: str) -> str:
+    """Distinct lower-case tokens between white space."""
+    return f"array_distinct({token_list(x)})"
 
-    return F.slice(_let(cleaned, firsts), 1, most)
 
+def term_list(terms: str, most: int) -> str:
+    """Cleaned non-blank terms, the first of those that differ in case alone, at most ``most``."""
+    cleaned = f"filter(transform(coalesce({terms}, {_NONE}), t -> {clean('t')}), t -> t <> '')"
+    firsts = "filter(all_, (t, i) -> array_position(lows, get(lows, i)) = i + 1)"
+    return f"slice({_let(cleaned, 'all_', _let('transform(all_, t -> lower(t))', 'lows', firsts))}, 1, {most})"
 
-def low_terms(terms: Column) -> Column:
-    """Terms in lower case and cleaned, blanks dropped: what the tests below compare with.
 
-    Lambdas evaluate what they close over for every element, so terms and texts should be prepared as columns
-    below a join; the functions that take raw terms prepare them on the spot.
-    """
-    return F.filter(F.transform(terms, lambda t: F.lower(clean(t))), lambda t: t != "")
+def low_terms(terms: str) -> str:
+    """Terms in lower case and cleaned, blanks dropped: what the tests below compare with."""
+    return f"filter(transform({terms}, t -> {low('t')}), t -> t <> '')"
 
 
-def has_any(low: Column, terms: Column) -> Column:
+def has_any(text: str, terms: str) -> str:
     """Whether any of the terms is a substring; text and terms are prepared."""
-    return F.exists(terms, lambda t: F.contains(low, t))
+    return f"exists({terms}, q -> contains({text}, q))"
 
 
-def phrase(x: Column) -> Column:
+def phrase(x: str) -> str:
     """Lower-case words joined by single spaces, anything else dropped."""
-    return F.trim(F.regexp_replace(F.lower(clean(x)), _JOIN, " "))
+    return rf"trim(regexp_replace({low(x)}, '[^\\p{{L}}\\p{{M}}\\p{{N}}_]+', ' '))"
 
 
-def spaced(words: Column) -> Column:
+def spaced(words: str) -> str:
     """A phrase with a space of its own on either side of each word, so that matches never share one."""
-    return F.concat(F.lit(" "), F.replace(words, F.lit(" "), F.lit("  ")), F.lit(" "))
+    return f"concat(' ', replace({words}, ' ', '  '), ' ')"
+
 
+def by_length(terms: str) -> str:
+    """The longest first, then by name."""
+    return f"transform(array_sort(transform({terms}, t -> struct(-length(t) as n, t as t))), s -> s.t)"
 
-def phrases(terms: Column) -> Column:
+
+def phrases(terms: str) -> str:
     """Terms as spaced phrases, the longest first, blanks dropped."""
-    made = F.filter(F.transform(terms, phrase), lambda t: t != "")
-    by_length = F.array_sort(F.transform(made, lambda t: F.struct((-F.length(t)).alias("n"), t.alias("t"))))
-    return F.transform(by_length, lambda s: spaced(s["t"]))
+    made = f"filter(transform({terms}, t -> {phrase('t')}), t -> t <> '')"
+    return f"transform({by_length(made)}, t -> {spaced('t')})"
 
 
-def remove_phrases(x: Column, terms: Column) -> Column:
+def remove_phrases(x: str, terms: str) -> str:
     """The text as a phrase, without any of the terms; longer terms go first."""
     return without(spaced(phrase(x)), phrases(terms))
 
 
-def without(text: Column, terms: Column) -> Column:
+def without(text: str, terms: str) -> str:
     """The same for a spaced phrase and phrases that are prepared."""
-    return F.trim(F.regexp_replace(F.aggregate(terms, text, lambda acc, t: F.replace(acc, t, F.lit(""))), " +", " "))
-
+    return f"trim(regexp_replace(aggregate({terms}, {text}, (acc, t) -> replace(acc, t, '')), ' +', ' '))"
 
-def by_length(terms: Column) -> Column:
-    return F.transform(F.array_sort(F.transform(terms, lambda t: F.struct((-F.length(t)).alias("n"), t.alias("t")))), lambda s: s["t"])
 
-
-def stripped(low: Column, terms: Column) -> Column:
+def stripped(text: str, terms: str) -> str:
     """The lower-case text without the terms where spaces surround them; terms are prepared, the longest first."""
-    padded = F.concat(F.lit(" "), low, F.lit(" "))
-    return clean(F.aggregate(terms, padded, lambda acc, t: F.replace(acc, F.concat(F.lit(" "), t, F.lit(" ")), F.lit(" "))))
+    return clean(f"aggregate({terms}, concat(' ', {text}, ' '), (acc, t) -> replace(acc, concat(' ', t, ' '), ' '))")
 
 
-def attached(x: Column, targets: Column, reasons: Column, gap: int, reach: int = 40) -> Column:
+def attached(x: str, targets: str, reasons: str, gap: int, reach: int = 40) -> str:
     """Whether a reason stands near a target: first places within ``reach`` characters, or tokens within ``gap``.
 
     A token matches a term if it contains it or is one of its words.
     """
-    return near(F.lower(clean(x)), token_list(x), low_terms(targets), low_terms(reasons), gap, reach)
+    return near(low(x), token_list(x), low_terms(targets), low_terms(reasons), gap, reach)
 
 
-def near(low: Column, words: Column, targets: Column, reasons: Column, gap: int, reach: int = 40) -> Column:
+def near(text: str, words: str, targets: str, reasons: str, gap: int, reach: int = 40) -> str:
     """The same for a text, its tokens and terms that are prepared. Only terms that occur are paired."""
-    places = lambda terms: F.filter(F.transform(terms, lambda t: F.instr(low, t)), lambda i: i > 0)
-    by_place = _let(places(targets), lambda a: _let(places(reasons), lambda b: F.exists(a, lambda i: F.exists(b, lambda j: F.abs(i - j) <= reach))))
 
-    def hits(terms: Column) -> Column:
-        marked = F.transform(words, lambda w, i: F.when(F.exists(terms, lambda t: F.contains(w, t) | (F.contains(t, w) & F.array_contains(F.split(t, " "), w))), i))
-        return F.filter(marked, lambda i: i.isNotNull())
+    def places(terms: str) -> str:
+        return f"filter(transform({terms}, t -> instr({text}, t)), i -> i > 0)"
+
+    def hits(terms: str) -> str:
+        match = f"exists({terms}, t -> contains(w, t) or (contains(t, w) and array_contains(split(t, ' '), w)))"
+        return f"filter(transform({words}, (w, i) -> if({match}, i, null)), i -> i is not null)"
+
+    def meet(a: str, b: str, most: int) -> str:
+        return _let(a, "aa", _let(b, "bb", f"exists(aa, i -> exists(bb, j -> abs(i - j) <= {most}))"))
 
-    by_token = _let(hits(targets), lambda a: _let(hits(reasons), lambda b: F.exists(a, lambda i: F.exists(b, lambda j: F.abs(i - j) <= gap))))
-    return by_place | by_token
+    return f"({meet(places(targets), places(reasons), reach)} or {meet(hits(targets), hits(reasons), gap)})"
 
 
-def _let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+def _let(value: str, name: str, body: str) -> str:
+    """``body`` of a value that is computed once and called ``name`` there."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
-def label_tokens(x: Column) -> Column:
+def label_tokens(x: str) -> str:
     """Tokens of a label such as ``07-01. Some/label (part)``, without its number."""
-    bare = F.regexp_replace(clean(x), r"^\d+-\d+\.\s*", "")
-    return F.filter(F.split(bare, r"(?U)[/()\-_,\s]+"), lambda t: t != "")
+    bare = rf"regexp_replace({clean(x)}, '^\\d+-\\d+\\.\\s*', '')"
+    return rf"filter(split({bare}, '(?U)[/()\\-_,\\s]+'), t -> t <> '')"
 
 
-def length_bucket(x: Column, short: int = 25, medium: int = 80) -> Column:
-    n = F.length(x)
-    return F.when(n <= short, "short").when(n <= medium, "medium").otherwise("long")
+def length_bucket(x: str, short: int = 25, medium: int = 80) -> str:
+    return f"case when length({x}) <= {short} then 'short' when length({x}) <= {medium} then 'medium' else 'long' end"
 
 
-def json_list(x: Column) -> Column:
+def json_list(x: str) -> str:
     """A JSON list of strings; any other non-blank text is a list of itself, null and blank are empty."""
-    parsed = F.from_json(x, "array<string>")
-    return F.when(clean(x) == "", F.array().cast("array<string>")).otherwise(F.coalesce(parsed, F.array(x)))
+    return f"case when {clean(x)} = '' then {_NONE} else coalesce(from_json({x}, 'array<string>'), array({x})) end"

@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import REASON_SCORE, RULE_CONFIDENCE, RULE_STAGES, WEIGHTS, Classifying
+from ..functions import text
 from ..functions.identity import GROUP
-from ..functions.text import clean, has_any, near, phrase, spaced, stripped, token_list, tokens, without
 from .dims import Dictionaries, group_terms, topic_lists, words
 from .rows import first_by, to_groups
 
@@ -27,19 +27,17 @@ def ruled(memos: DataFrame, terms: DataFrame, c: Classifying = Classifying(), d:
     Pure: a short memo that names the category and a sentiment and says no more than connecting words. Else a
     short memo with a sentiment, unless a feature or a reason stands near what it is about.
     """
-    x = clean(F.col("memo"))
-    ready = memos.withColumns({"_low": F.lower(x), "_words": token_list(F.col("memo")), "_spaced": spaced(phrase(F.col("memo"))), "_length": F.length(x)})
-    df = to_groups(ready, terms)
-    short = F.col("_length") <= c.overall_max_text_length
-    left = F.filter(F.split(without(F.col("_spaced"), F.col("pure_phrases")), " "), lambda t: t != "")
-    connected = F.forall(left, lambda t: F.array_contains(words(d.connectors), t)) if d.connectors else F.size(left) == 0
-    pure = (F.col("_length") > 0) & short & has_any(F.col("_spaced"), F.col("target_phrases")) & has_any(F.col("_spaced"), F.col("sentiment_phrases")) & connected
-    attached = lambda what, gap: near(F.col("_low"), F.col("_words"), F.col("neutral_low"), F.col(what), gap)
-    blocked = attached("features", 5) | has_any(stripped(F.col("_low"), F.col("neutral_low")), F.col("features")) | attached("reasons", 4)
-    said = has_any(F.col("_low"), F.col("said"))
+    ready = memos.withColumns({n: F.expr(x) for n, x in {"_low": text.low("memo"), "_words": text.token_list("memo"), "_spaced": text.spaced(text.phrase("memo")), "_length": f"length({text.clean('memo')})"}.items()})
+    df = to_groups(ready, terms).withColumn("_connectors", words(d.connectors))
+    short = f"_length <= {c.overall_max_text_length}"
+    left = f"filter(split({text.without('_spaced', 'pure_phrases')}, ' '), t -> t <> '')"
+    pure = f"_length > 0 and {short} and {text.has_any('_spaced', 'target_phrases')} and {text.has_any('_spaced', 'sentiment_phrases')} and forall({left}, t -> array_contains(_connectors, t))"
+    attached = lambda what, gap: text.near("_low", "_words", "neutral_low", what, gap)
+    blocked = f"{attached('features', 5)} or {text.has_any(text.stripped('_low', 'neutral_low'), 'features')} or {attached('reasons', 4)}"
     # The costly tests come last: only memos with a sentiment reach them
-    rule = F.when(pure, "rule_overall_target_sentiment").when(~said, "rule_non_overall").when(blocked, "rule_overall_blocked").when(short, "rule_overall").otherwise("rule_non_overall")
-    return df.withColumn("rule", rule)
+    rule = f"""case when {pure} then 'rule_overall_target_sentiment' when not {text.has_any('_low', 'said')} then 'rule_non_overall'
+        when {blocked} then 'rule_overall_blocked' when {short} then 'rule_overall' else 'rule_non_overall' end"""
+    return df.withColumn("rule", F.expr(rule))
 
 
 def overall(memos: DataFrame, terms: DataFrame, c: Classifying = Classifying(), d: Dictionaries = Dictionaries()) -> DataFrame:
@@ -55,18 +53,13 @@ def shortlist(c: Classifying = Classifying()) -> Column:
     for each feature term in the memo 1.25 if the name has it, else 0.85 if the description has it; for each hint in
     the memo 2.0 if it has more than one word, else 1.4.
     """
-    w, memo, low, said = WEIGHTS, F.col("_memo"), F.col("_low"), F.col("_said")
-
-    def entry(t: Column) -> Column:
-        common = lambda other: F.size(F.array_intersect(memo, other))
-        features = F.aggregate(said, F.lit(0.0), lambda acc, f: acc + F.when(F.contains(t["low"], f), w["feature_in_name"]).when(F.contains(t["told_low"], f), w["feature_in_description"]).otherwise(0.0))
-        hits = F.filter(t["hints"], lambda h: F.contains(low, h))
-        hinted = F.aggregate(hits, F.lit(0.0), lambda acc, h: acc + F.when(F.contains(h, F.lit(" ")), w["hint_of_words"]).otherwise(w["hint"]))
-        score = F.round(w["name"] * common(t["name"]) + w["description"] * common(t["told"]) + w["memos"] * common(t["shown"]) + features + hinted, 4)
-        return F.struct(F.when(t["topic"].eqNullSafe(F.col("overall_topic_name")), 0.0).otherwise(-score).alias("order"), t["topic"].alias("topic"))
-
-    scored = F.filter(F.transform("topics", entry), lambda e: e["order"] < 0)
-    return F.transform(F.slice(F.sort_array(scored), 1, c.shortlist), lambda e: F.struct(e["topic"].alias("topic"), (-e["order"]).alias("score")))
+    w = WEIGHTS
+    common = lambda other: f"size(array_intersect(_memo, t.{other}))"
+    features = f"aggregate(_said, 0D, (acc, f) -> acc + case when contains(t.low, f) then {w['feature_in_name']}D when contains(t.told_low, f) then {w['feature_in_description']}D else 0D end)"
+    hinted = f"aggregate(filter(t.hints, h -> contains(_low, h)), 0D, (acc, h) -> acc + if(contains(h, ' '), {w['hint_of_words']}D, {w['hint']}D))"
+    score = f"round({w['name']}D * {common('name')} + {w['description']}D * {common('told')} + {w['memos']}D * {common('shown')} + {features} + {hinted}, 4)"
+    scored = f"filter(transform(topics, t -> struct(if(t.topic <=> overall_topic_name, 0D, -{score}) as order, t.topic as topic)), e -> e.order < 0)"
+    return F.expr(f"transform(slice(sort_array({scored}), 1, {c.shortlist}), e -> struct(e.topic as topic, -e.order as score))")
 
 
 def candidates(memos: DataFrame, topic: DataFrame, c: Classifying = Classifying()) -> DataFrame:
@@ -74,10 +67,8 @@ def candidates(memos: DataFrame, topic: DataFrame, c: Classifying = Classifying(
 
     ``memos`` needs ``feature_hint_terms`` and ``overall_topic_name``.
     """
-    low = F.lower(clean(F.col("memo")))
-    features = F.filter(F.transform("feature_hint_terms", F.lower), lambda f: f != "")
-    ready = to_groups(memos.withColumns({"_memo": tokens(F.col("memo")), "_low": low}).withColumn("_features", features), topic_lists(topic))
-    ready = ready.withColumn("_said", F.filter("_features", lambda f: F.contains(F.col("_low"), f)))
+    ready = to_groups(memos.withColumns({"_memo": F.expr(text.tokens("memo")), "_low": F.expr(text.low("memo"))}), topic_lists(topic))
+    ready = ready.withColumn("_said", F.expr("filter(transform(feature_hint_terms, f -> lower(f)), f -> f <> '' and contains(_low, f))"))
     return ready.withColumn("shortlist", shortlist(c)).where(F.size("shortlist") > 0).select(*GROUP, "memo_id", "shortlist")
 
 
@@ -110,7 +101,7 @@ def classify(memos: DataFrame, profile: DataFrame, topic: DataFrame, c: Classify
     """
     df = ruled(memos.select(*MEMO), group_terms(profile, topic, d), c, d)
     open_ = ~F.col("rule").isin(*RULE_STAGES)
-    df = df.withColumn("_memo", F.when(open_, tokens(F.col("memo")))).withColumn("_said", F.when(open_, F.filter("features", lambda f: F.contains(F.col("_low"), f))))
+    df = df.withColumn("_memo", F.when(open_, F.expr(text.tokens("memo")))).withColumn("_said", F.when(open_, F.expr("filter(features, f -> contains(_low, f))")))
     df = df.withColumn("shortlist", F.when(open_, shortlist(c)))
     made = ("pred_topic", "pred_topic_type", "classification_stage", "confidence_score", "review_needed_yn", "match_reason", "candidate_topics_json", "llm_used_yn")
     return decide(df, c).select(*MEMO, *made)
@@ -168,7 +159,7 @@ def reassignments(others: DataFrame, topic: DataFrame, min_score: float = 0.8, m
     """
     keep = ("memo", "match_reason", "memo_norm", "pred_topic")
     rows = first_by(others.where(F.col("pred_topic_type") == "others").select(*GROUP, "memo_id", *keep, "pred_topic_type"), [*GROUP, "memo_id"], [F.asc_nulls_last(x) for x in keep])
-    rows = to_groups(rows, topic_lists(topic)).withColumns({"_memo": tokens(F.col("memo")), "_low": F.lower(clean(F.col("memo"))), "_said": F.array().cast("array<string>"), "overall_topic_name": F.lit("")})
+    rows = to_groups(rows, topic_lists(topic)).withColumns({"_memo": F.expr(text.tokens("memo")), "_low": F.expr(text.low("memo")), "_said": F.array().cast("array<string>"), "overall_topic_name": F.lit("")})
     out = rows.withColumn("_named", named_once(F.col("match_reason"), F.transform("topics", lambda t: t["topic"]))).withColumn("shortlist", shortlist(c))
     first, second = F.get("shortlist", F.lit(0)), F.get("shortlist", F.lit(1))
     margin = first["score"] - F.coalesce(second["score"], F.lit(0.0))

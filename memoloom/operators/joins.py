@@ -64,10 +64,10 @@ def complete_mapping(pool: DataFrame, proposed: DataFrame, locked: Column | None
     or with a blank one, is mapped to itself. Topics for which ``locked`` holds are mapped to ``target``.
     """
     topics = pool.select(*GROUP, F.col("topic").alias("source_topic"), F.coalesce("description", F.lit("")).alias("_told"))
-    topics = topics.where(clean(F.col("source_topic")) != "").groupBy(*GROUP, "source_topic").agg(F.min("_told").alias("_told"))
+    topics = topics.where(f"{clean('source_topic')} <> ''").groupBy(*GROUP, "source_topic").agg(F.min("_told").alias("_told"))
     one = proposed.groupBy(*GROUP, "source_topic").agg(F.min(F.struct("merged_topic", "merged_description", "merge_reason")).alias("_p"))
     out = topics.join(one, [*GROUP, "source_topic"], "left")
-    text = lambda c, other: F.when(clean(F.col(f"_p.{c}")) != "", clean(F.col(f"_p.{c}"))).otherwise(other)
+    text = lambda c, other: F.when(F.expr(clean(f"_p.{c}")) != "", F.expr(clean(f"_p.{c}"))).otherwise(other)
     stay = F.lit(False) if locked is None else F.coalesce(locked, F.lit(False))
     return out.select(
         *GROUP,

@@ -42,7 +42,7 @@ def hash_order_sample(df: DataFrame, rows: int, seed: str) -> DataFrame:
 
 def with_stratum(df: DataFrame) -> DataFrame:
     known = [F.coalesce(F.col(c).cast("string"), F.lit(d)) for c, d in STRATUM]
-    return df.withColumn("stratum", F.concat_ws("||", *known, length_bucket(F.coalesce("memo_norm", "memo"))))
+    return df.withColumn("stratum", F.concat_ws("||", *known, F.expr(length_bucket("coalesce(memo_norm, memo)"))))
 
 
 def diverse_sample(df: DataFrame, rows: int, base_rows: int, seed: str) -> DataFrame:

@@ -119,41 +119,41 @@ def f5_sampling_key(t):
 
 @query
 def f6_clean_text(t):
-    return t.r.read("topic_pool").select(*GROUP, "topic_order", text.clean(F.col("description")).alias("description"))
+    return t.r.read("topic_pool").select(*GROUP, "topic_order", F.expr(text.clean("description")).alias("description"))
 
 
 @query
 def f8_token_count(t):
-    return t.raw.select("detail_id", F.size(text.tokens(F.col("memo"))).alias("tokens"))
+    return t.raw.select("detail_id", F.size(F.expr(text.tokens("memo"))).alias("tokens"))
 
 
 @query
 def f14_label_tokens(t):
-    return t.r.read("category_mapping").select("cate_1_depth", "cate_2_depth", F.array_join(text.label_tokens(F.col("cate_2_depth")), "/").alias("tokens"))
+    return t.r.read("category_mapping").select("cate_1_depth", "cate_2_depth", F.array_join(F.expr(text.label_tokens("cate_2_depth")), "/").alias("tokens"))
 
 
 @query
 def f15_json_list(t):
-    return t.pool.select(*GROUP, "topic_order", F.size(text.json_list(F.col("representative_memos_json"))).alias("memos"))
+    return t.pool.select(*GROUP, "topic_order", F.size(F.expr(text.json_list("representative_memos_json"))).alias("memos"))
 
 
 @query
 def f7_term_list(t):
-    return t.pool.select(*GROUP, "topic_order", F.array_join(text.term_list(F.split("description", " "), 5), "|").alias("terms"))
+    return t.pool.select(*GROUP, "topic_order", F.array_join(F.expr(text.term_list("split(description, ' ')", 5)), "|").alias("terms"))
 
 
 @query
 def f9_f13_terms(t):
     """A memo against the words of its topic: substring, phrase, phrases and words taken out, nearness."""
     d = t.detail.where("pred_topic is not null").select("detail_id", "memo", F.split(F.lower("pred_topic"), " ").alias("_t"))
-    d = d.withColumns({"_low": F.lower(text.clean(F.col("memo"))), "_terms": text.by_length(text.low_terms(F.col("_t"))), "_p": text.phrase(F.col("memo"))})
+    d = d.withColumns({"_low": F.expr(text.low("memo")), "_terms": F.expr(text.by_length(text.low_terms("_t"))), "_p": F.expr(text.phrase("memo"))})
     return d.select(
         "detail_id",
-        text.has_any(F.col("_low"), F.col("_terms")).alias("said"),
+        F.expr(text.has_any("_low", "_terms")).alias("said"),
         F.col("_p").alias("phrase"),
-        text.without(text.spaced(F.col("_p")), text.phrases(F.col("_terms"))).alias("rest"),
-        text.stripped(F.col("_low"), F.col("_terms")).alias("stripped"),
-        text.near(F.col("_low"), text.token_list(F.col("memo")), F.slice("_terms", 1, 1), F.slice("_terms", 2, 1), 4, 20).alias("near"),
+        F.expr(text.without(text.spaced("_p"), text.phrases("_terms"))).alias("rest"),
+        F.expr(text.stripped("_low", "_terms")).alias("stripped"),
+        F.expr(text.near("_low", text.token_list("memo"), "slice(_terms, 1, 1)", "slice(_terms, 2, 1)", 4, 20)).alias("near"),
     )
 
 
@@ -516,19 +516,19 @@ def _samples(t):
 @query
 def l5_seeds(t):
     seeds = category_seeds(_samples(t), TermModel())
-    return seeds.select(*GROUP, "category_summary", *[F.array_join(text.json_list(F.col(c)), "|").alias(c[:-5]) for c in ("feature_hint_terms_json", "candidate_topic_labels_json", "sample_non_overall_memos_json")])
+    return seeds.select(*GROUP, "category_summary", *[F.array_join(F.expr(text.json_list(c)), "|").alias(c[:-5]) for c in ("feature_hint_terms_json", "candidate_topic_labels_json", "sample_non_overall_memos_json")])
 
 
 @query
 def l6_profiles(t):
     p = design_profiles(_samples(t), TermModel())
-    return p.select(*GROUP, "overall_topic_name", *[F.array_join(text.json_list(F.col(f"{c}_json")), "|").alias(c) for c in ("overall_sentiment_terms", "feature_hint_terms", "reason_signal_terms", "non_overall_examples")])
+    return p.select(*GROUP, "overall_topic_name", *[F.array_join(F.expr(text.json_list(f"{c}_json")), "|").alias(c) for c in ("overall_sentiment_terms", "feature_hint_terms", "reason_signal_terms", "non_overall_examples")])
 
 
 @query
 def l7_pools(t):
     p = design_pools(_samples(t), TermModel())
-    return p.select(*GROUP, "topic_order", "topic", "description", F.array_join(text.json_list(F.col("representative_memos_json")), "|").alias("memos"), "topic_count", F.col("error").isNotNull().alias("failed"))
+    return p.select(*GROUP, "topic_order", "topic", "description", F.array_join(F.expr(text.json_list("representative_memos_json")), "|").alias("memos"), "topic_count", F.col("error").isNotNull().alias("failed"))
 
 
 @query
@@ -568,8 +568,8 @@ def c4_c5_overall(t):
 def c7_overlap(t):
     """Tokens of a memo in common with the names of its group's topics."""
     d = sampling.dedupe_for_classification(t.memos, "detail_id")
-    p = t.pool.select(*GROUP, "topic", text.tokens(F.col("topic")).alias("name")).dropDuplicates([*GROUP, "topic"])
-    pairs = d.withColumn("words", text.tokens(F.col("memo"))).join(p, list(GROUP))
+    p = t.pool.select(*GROUP, "topic", F.expr(text.tokens("topic")).alias("name")).dropDuplicates([*GROUP, "topic"])
+    pairs = d.withColumn("words", F.expr(text.tokens("memo"))).join(p, list(GROUP))
     return pairs.withColumn("overlap", F.size(F.array_intersect("words", "name"))).where("overlap > 0").select(*GROUP, "memo_id", "topic", "overlap")
 
 
