@@ -234,6 +234,8 @@ def test_clusters_equal_brute_force(spark):
     assert all(len(r["typical"]) == min(5, r["size"]) and sum(t["n"] for t in r["topics"]) == r["size"] for r in d)
     assert clusters.linked(v, assigned, 0.8, tile_rows=4).select("vid", "cluster").distinct().count() == clusters.linked(v, assigned, 0.8).count()
     none = vectors.load(df.where("model = 'none'"), "memo_id", "v", 16)
+    whole = clusters.clusters(v, exact=True)[0]
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, members.collect()))
     assert clusters.clusters(none)[0].count() == 0
 
 
