@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import ceil
+from math import ceil, log10
 
 import numpy as np
 import pandas as pd
@@ -114,10 +114,46 @@ def _ranked(best: DataFrame) -> DataFrame:
     return best.select("vid", F.posexplode("best").alias("rank", "b")).select("vid", (F.col("rank") + 1).alias("rank"), F.col("b.neighbour").alias("neighbour"), (-F.col("b.far")).alias("cosine"))
 
 
-def nearest(vectors: Vectors, k: int = 5, least: float = -1.0, curves: int = 12, dims: int = 8, bits: int = 7, window: int = 256, part_rows: int = 8_192, seed: int = 20260420) -> DataFrame:
+def orderings(n: int) -> int:
+    """Curves for ``n`` vectors: 12, and four more for each tenfold beyond 100,000, since a window of fixed length
+    covers less and less of a curve."""
+    return 12 + max(0, ceil(4 * log10(max(n, 1) / 100_000)))
+
+
+def exact_nearest(vectors: Vectors, queries: DataFrame, k: int = 5, least: float = -1.0, most: int = 50_000) -> DataFrame:
+    """``vid``, ``rank``, ``neighbour``, ``cosine`` as :func:`nearest` has them, without a miss, for stated queries.
+
+    ``queries`` (vid, vec), no more than ``most`` (more are an error), meet all vectors; each task keeps the ``k`` best of
+    each query.
+    """
+    asked = queries.select("vid", "vec").limit(most + 1).toPandas()
+    if len(asked) > most:
+        raise ValueError(f"more than {most} queries")
+    share = vectors.rows.sparkSession.sparkContext.broadcast((matrix(asked["vec"]), asked["vid"].to_numpy(np.int64)))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        q, own = share.value
+        best: list[pd.DataFrame] = []
+        for b in batches:
+            x, vid = matrix(b["vec"]), b["vid"].to_numpy()
+            for a in range(0, len(q), 512):
+                s = q[a : a + 512] @ x.T
+                s[own[a : a + 512, None] == vid] = -2
+                kth = np.partition(s, max(0, s.shape[1] - k), axis=1)[:, max(0, s.shape[1] - k)] if s.shape[1] else np.zeros(len(s))
+                i, j = np.nonzero((s >= np.maximum(kth, least)[:, None]) & (s > -1.5))
+                best.append(pd.DataFrame({"vid": own[a + i], "neighbour": vid[j], "cosine": (q[a + i] * x[j]).sum(1)}))
+            best = [pd.concat(best).sort_values(["vid", "cosine", "neighbour"], ascending=[True, False, True]).groupby("vid").head(k)]
+        if best:
+            yield best[0]
+
+    found = vectors.rows.select("vid", "vec").mapInPandas(run, "vid long, neighbour long, cosine double").where(F.col("cosine") >= least)
+    return _ranked(found.groupBy("vid").agg(F.slice(F.sort_array(F.collect_set(F.struct((-F.col("cosine")).alias("far"), "neighbour"))), 1, k).alias("best")))
+
+
+def nearest(vectors: Vectors, k: int = 5, least: float = -1.0, curves: int | None = None, dims: int = 8, bits: int = 7, window: int = 256, part_rows: int = 8_192, seed: int = 20260420) -> DataFrame:
     """``vid``, ``rank``, ``neighbour`` and ``cosine``: the ``k`` most similar vectors of each, from ``least`` on.
 
-    Each of ``curves`` orderings projects all vectors on ``dims`` random directions, scaled by the moments of
+    Each of ``curves`` orderings (:func:`orderings`, unless given) projects all vectors on ``dims`` random directions, scaled by the moments of
     the whole collection and shifted at random, and sorts them along a Hilbert curve. Spark range-partitions
     and sorts every ordering; a row meets those up to ``window`` places before and after it, over the borders
     of its task too: rows near one meet once more in a strip around it. The best of each ordering merge by
@@ -126,9 +162,10 @@ def nearest(vectors: Vectors, k: int = 5, least: float = -1.0, curves: int = 12,
     Equal vectors are one on the curves, the one of the smallest vid, and what is found for it holds for all
     of them, by ``expand``; so groups of any size don't fill the windows, and ties are broken over all of them.
 
-    The result is approximate: a neighbour counts if some ordering brings it into the window. Every vector is
+    The result is approximate (:func:`exact_nearest` isn't): a neighbour counts if some ordering brings it into the window. Every vector is
     indexed and asked for; none is its own neighbour. No vectors or a single one give no rows.
     """
+    curves = curves or orderings(vectors.n)
     rng = np.random.default_rng(seed)
     plan = []
     for _ in range(curves):
@@ -139,12 +176,13 @@ def nearest(vectors: Vectors, k: int = 5, least: float = -1.0, curves: int = 12,
 
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            x = matrix(b["vec"])
+            x, out = matrix(b["vec"]), np.zeros((len(b), curves), np.int64)
             for t, (basis, mean, shift) in enumerate(share.value):
                 z = x @ basis - mean
                 u = 0.5 * (1 + np.tanh(0.79788456 * (z + 0.044715 * z**3)))  # evens out what is near normal
                 cells = ((u + shift) / 2 * (1 << bits)).astype(np.int64).clip(0, (1 << bits) - 1)
-                yield pd.DataFrame({"curve": np.full(len(b), t, np.int32), "key": hilbert(cells, bits), "vid": b["vid"], "vec": b["vec"]})
+                out[:, t] = hilbert(cells, bits)
+            yield b.assign(keys=list(out))
 
     def pairs(p: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return top_of_windows(matrix(p["vec"]), p["vid"].to_numpy(), k, window, least)
@@ -179,7 +217,8 @@ def nearest(vectors: Vectors, k: int = 5, least: float = -1.0, curves: int = 12,
     if n_copies:
         rows = rows.join(copies, "vid", "left_anti")
     parts = curves * max(1, ceil((vectors.n - n_copies) / part_rows))
-    keyed = rows.mapInPandas(keys, "curve int, key long, vid long, vec array<float>")
+    # Keys are computed once; the range borders are then drawn from them, not from the vectors again
+    keyed = cut(rows.mapInPandas(keys, "vid long, vec array<float>, keys array<long>")).select(F.posexplode("keys").alias("curve", "key"), "vid", "vec")
     ordered = keyed.repartitionByRange(parts, "curve", "key", "vid").sortWithinPartitions("curve", "key", "vid")
     out = ["vid", "neighbour", "cosine", "curve", "vec", "part", "at", "size"]
     met = cut(ordered.mapInPandas(meet, "vid long, neighbour long, cosine double, curve int, vec array<float>, part int, at long, size long"))

@@ -258,6 +258,12 @@ def test_neighbours_equal_brute_force(spark):
         assert [got[i][k + 1][0] for k in range(5)] == [j for _, j in want]
         assert got[i][1][1] == pytest.approx(-want[0][0])
     none = vectors.load(df.where("model = 'none'"), "memo_id", "v", 16)
+    sure = neighbours.exact_nearest(v, v.rows.where("vid % 3 = 0"), 5).select("vid", "rank", "neighbour").collect()
+    close = {(r["vid"], r["neighbour"]) for r in neighbours.nearest(v, 5).collect()}
+    assert len(sure) == 5 * v.rows.where("vid % 3 = 0").count() and np.mean([(r["vid"], r["neighbour"]) in close for r in sure]) >= 0.9
+    with pytest.raises(ValueError):
+        neighbours.exact_nearest(v, v.rows, most=3)
+    assert neighbours.orderings(10) == 12 < neighbours.orderings(10**7) < neighbours.orderings(10**10)
     assert neighbours.nearest(none).count() == 0
 
 
