@@ -24,7 +24,7 @@ MASKS = (
 )
 #: Bits of the filter for each window of the items, which document windows must pass before they are joined; and
 #: log2 of its smallest and largest size. Beyond the largest, more windows pass and fail at the join: nothing is lost.
-BITS_A_WINDOW, LEAST_BITS, MOST_BITS = 64, 16, 31
+BITS_A_WINDOW, LEAST_BITS, MOST_BITS = 64, 16, 30
 #: Diagonals on either side of a hit that an alignment may move to, by words that one side has more.
 GAP = 3
 
