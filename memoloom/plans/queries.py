@@ -45,11 +45,21 @@ class Tables:
         """Regular reviews with the identity of their content."""
         return with_memo_id(eligible(self.raw))
 
+    @property
+    def identified(self) -> DataFrame:
+        """Labels under the identity of their content, whatever normaliser they were written with."""
+        return self.detail.withColumn("memo_norm", normalize_memo("memo")).withColumn("memo_id", memo_id("memo_norm"))
+
     @property
     def latest(self) -> DataFrame:
         """The newest label of each memo, by content, group and version."""
-        d = self.detail.withColumn("memo_norm", normalize_memo("memo")).withColumn("memo_id", memo_id("memo_norm"))
-        return rows.latest(d, [*GV, "memo_id"], ["is_latest", "created_at", "run_id"], ["detail_id"])
+        return rows.latest(self.identified, [*GV, "memo_id"], ["is_latest", "created_at", "run_id"], ["detail_id"])
+
+    @property
+    def latest_in_group(self) -> DataFrame:
+        """The newest label of each memo by content and group, of any version: one window, since the newest of the
+        newest of each version is the newest of all."""
+        return rows.latest(self.identified, [*GROUP, "memo_id"], ["is_latest", "created_at", "run_id"], ["detail_id"])
 
     @property
     def profile(self) -> DataFrame:
@@ -335,7 +345,7 @@ def w14_group_total(t):
 
 @query
 def a20_reconciliation(t):
-    detail = rows.latest(t.latest, [*GROUP, "memo_id"], ["is_latest", "created_at", "run_id"], ["detail_id"])
+    detail = t.latest_in_group
     return report.reconciliation(detail, joins.expand(t.memos, detail))
 
 
@@ -366,7 +376,7 @@ def o6_review_list(t):
 
 @query
 def j1_expand(t):
-    detail = rows.latest(t.latest, [*GROUP, "memo_id"], ["is_latest", "created_at", "run_id"], ["detail_id"])
+    detail = t.latest_in_group
     return joins.expand(t.memos, detail).select("detail_id", "pred_topic", "pred_topic_type", "confidence_score")
 
 
