@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -10,7 +11,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import col
@@ -198,12 +199,36 @@ def _learn(term: np.ndarray, size: np.ndarray, doc: np.ndarray, label: np.ndarra
     return m
 
 
-def fit(sizes: np.ndarray, cells: np.ndarray, doc: np.ndarray, label: np.ndarray, min_docs: int = 3, stands_for: np.ndarray | None = None) -> Machine:
+def _in_turn(jobs: list[tuple], *shared) -> list[Machine]:
+    return [_learn(*job, *shared) for job in jobs]
+
+
+def _in_tasks(spark: SparkSession):
+    """Learns each machine in a task of its own; what the tasks are sent is bounded by the number of labels."""
+
+    def learn(jobs: list[tuple], label: np.ndarray, index: np.ndarray, n_terms: int) -> list[Machine]:
+        share = spark.sparkContext.broadcast((jobs, label, index, n_terms))
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            jobs, label, index, n_terms = share.value
+            for b in batches:
+                made = [_learn(*jobs[i], label, index, n_terms) for i in b["id"]]
+                yield pd.DataFrame({"id": b["id"], "machine": [pickle.dumps((m.bias, m.weight, m.factor)) for m in made]})
+
+        got = spark.range(0, len(jobs), 1, len(jobs)).mapInPandas(run, "id long, machine binary").toPandas().sort_values("id")
+        share.destroy()
+        return [Machine(index, *pickle.loads(x), np.full(len(KINDS), 0.5)) for x in got["machine"]]
+
+    return learn
+
+
+def fit(sizes: np.ndarray, cells: np.ndarray, doc: np.ndarray, label: np.ndarray, min_docs: int = 3, stands_for: np.ndarray | None = None, learn=_in_turn) -> Machine:
     """A machine from units of labelled documents (``label``: 1, 0 or -1 for unknown, by document and kind).
 
     Terms in fewer than ``min_docs`` documents, names above all, are unknown here and later. The thresholds
     are those of the best F1 where each half of the documents is scored by a machine of the other half, 0.5 at
-    least; there a document counts as the ``stands_for`` labels that it was drawn from.
+    least; there a document counts as the ``stands_for`` labels that it was drawn from. ``learn`` makes the machines,
+    which don't depend on each other.
     """
     stands_for = np.ones(len(label)) if stands_for is None else stands_for
     of = np.repeat(np.arange(len(sizes)), sizes)
@@ -225,15 +250,16 @@ def fit(sizes: np.ndarray, cells: np.ndarray, doc: np.ndarray, label: np.ndarray
     half = (np.arange(len(label)) * 2654435761 >> 7) % 2
     held = np.zeros((len(label), len(KINDS)))
     start = _starts(n)
+    jobs, others = [], []
     for h in (0, 1):
         inside = half[doc] == h
-        if not inside.any() or inside.all():
-            continue
-        at, _ = _pick(start, n, np.flatnonzero(inside))
-        part = _learn(term[at], n[inside], doc[inside], label, index, len(known))
-        at, st = _pick(start, n, np.flatnonzero(~inside))
-        np.maximum.at(held, doc[~inside], part.scores(term[at], st))
-    m = _learn(term, n, doc, label, index, len(known))
+        if inside.any() and not inside.all():
+            jobs.append((term[_pick(start, n, np.flatnonzero(inside))[0]], n[inside], doc[inside]))
+            others.append(np.flatnonzero(~inside))
+    *parts, m = learn([*jobs, (term, n, doc)], label, index, len(known))
+    for part, rest in zip(parts, others):
+        at, st = _pick(start, n, rest)
+        np.maximum.at(held, doc[rest], part.scores(term[at], st))
     for k in range(len(KINDS)):
         ok = label[:, k] >= 0
         s, y, w = held[ok, k], label[ok, k] == 1, stands_for[ok]
@@ -291,7 +317,7 @@ def train(docs: DataFrame, id_col: str, text_col: str, labels: DataFrame, label_
     sizes = np.concatenate(got["sizes"].to_list()).astype(np.int64)
     cells = np.concatenate(got["cells"].to_list()).astype(np.int64)
     doc = np.repeat(np.arange(len(got)), [len(x) for x in got["sizes"]])
-    return fit(sizes, cells, doc, got[list(KINDS)].to_numpy(), stands_for=got["stands"].to_numpy())
+    return fit(sizes, cells, doc, got[list(KINDS)].to_numpy(), stands_for=got["stands"].to_numpy(), learn=_in_tasks(docs.sparkSession))
 
 
 def content_scores(docs: DataFrame, id_col: str, text_col: str, labels: DataFrame, label_id: str, keep: tuple[str, ...] = (), max_labels: int = 12_000) -> DataFrame:
