@@ -31,12 +31,15 @@ def cut(df: DataFrame) -> DataFrame:
     process; on a cluster a folder of one machine would be no use, so there it is an error.
     """
     spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
-        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="memoloom-")
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        spark.sparkContext.setCheckpointDir(folder)
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not re.fullmatch(r"local(\[.*\])?", context.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="memoloom-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.setCheckpointDir(folder)
     return df.checkpoint()
 
 
