@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from math import isqrt
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -17,13 +19,32 @@ from .vectors import Vectors, matrix
 
 @dataclass
 class Cells:
-    """A second mixture inside each component of the first: unit means, log weights, one variance for all of them."""
+    """A second, finer mixture, started in the components of the first: unit means, log weights, one variance for all."""
 
     centre: np.ndarray
-    of: np.ndarray
     weight: np.ndarray
     variance: float
 
+    def densities(self, x: np.ndarray) -> np.ndarray:
+        """Log of weight times density of each row in each cell, up to a constant."""
+        return x.astype(np.float32) @ (self.centre.T / self.variance).astype(np.float32) + self.weight.astype(np.float32)
+
+    def statistics(self, x: np.ndarray) -> np.ndarray:
+        """Of each cell the weight and sum of its rows."""
+        p = self.densities(x)
+        p -= p.max(1, keepdims=True)
+        np.exp(p, out=p)
+        p /= p.sum(1, keepdims=True)
+        return np.concatenate([p.sum(0, dtype=np.float64), (p.T @ x.astype(np.float32)).ravel()])
+
+    def moved(self, s: np.ndarray) -> Cells:
+        c, d = self.centre.shape
+        mass, total = s[:c], s[c:].reshape(c, d)
+        far = 2 * (mass.sum() - (total * self.centre).sum())  # of unit vectors, half the squared distance is 1 less their product
+        long = np.linalg.norm(total, axis=1, keepdims=True)
+        centre = np.where(long > 1e-9, total / long.clip(1e-9), self.centre)
+        return Cells(centre, np.log((mass + 1) / (mass + 1).sum()), max(far / mass.sum() / d, 1e-3 / d))
+
 
 @dataclass
 class Mixture:
@@ -46,8 +67,8 @@ class Mixture:
         out = np.empty((len(z), k))
         for i in range(k):
             low = np.linalg.cholesky(self.cov[i] + self.ridge * np.eye(r))
-            y = np.linalg.solve(low, (z - self.centre[i]).T)
-            out[:, i] = np.log(self.weight[i].clip(1e-300)) - 0.5 * ((y**2).sum(0) + r * np.log(2 * np.pi)) - np.log(np.diag(low)).sum()
+            y = (z - self.centre[i]) @ np.linalg.inv(low).T
+            out[:, i] = np.log(self.weight[i].clip(1e-300)) - 0.5 * ((y**2).sum(1) + r * np.log(2 * np.pi)) - np.log(np.diag(low)).sum()
         return out
 
     def statistics(self, z: np.ndarray) -> np.ndarray:
@@ -57,7 +78,7 @@ class Mixture:
         p = np.exp(d - top)
         total = p.sum(1, keepdims=True)
         p /= total
-        outer = np.stack([(z * p[:, i : i + 1]).T @ z for i in range(p.shape[1])])
+        outer = np.stack([y.T @ y for y in (z * np.sqrt(p[:, i : i + 1]) for i in range(p.shape[1]))])
         return np.concatenate([p.sum(0), (p.T @ z).ravel(), outer.ravel(), [float((top + np.log(total)).sum()), len(z)]])
 
     def updated(self, s: np.ndarray) -> Mixture:
@@ -75,142 +96,147 @@ class Mixture:
         return -2 * likelihood + (k * (1 + r + r * (r + 1) / 2) - 1) * np.log(max(rows, 2))
 
 
-def _start(mean: np.ndarray, project: np.ndarray, z: np.ndarray, k: int, ridge: float, rng: np.random.Generator) -> Mixture:
-    """Centres far from each other, by the usual seeding in proportion to squared distances, then refined."""
-    centre = z[rng.integers(len(z))][None]
-    far = ((z - centre) ** 2).sum(1)
-    while len(centre) < k:
-        new = z[rng.choice(len(z), p=far / far.sum()) if far.sum() > 0 else rng.integers(len(z))]
-        centre = np.concatenate([centre, new[None]])
-        far = np.minimum(far, ((z - new) ** 2).sum(1))
-    for _ in range(5):
-        near = ((centre**2).sum(1) - 2 * z @ centre.T).argmin(1)
-        n = np.bincount(near, minlength=k)
-        total = np.zeros_like(centre)
-        np.add.at(total, near, z)
-        centre = np.where(n[:, None] > 0, total / n.clip(1)[:, None], centre)
-    spread = np.eye(z.shape[1]) * max(ridge, float(((z - centre[near]) ** 2).mean()))
-    return Mixture(mean, project, (n + 1) / (n + 1).sum(), centre, np.repeat(spread[None], k, 0), ridge)
-
-
-def _cells(x: np.ndarray, main: np.ndarray, sizes: np.ndarray, per_cell: int, rng: np.random.Generator, steps: int = 4) -> Cells:
-    """Spherical mixtures of one variance within each component, of a cell for ``per_cell`` of its vectors.
-
-    Means start from rows of the sample and are moved by expectation-maximisation, responsibilities and all.
+def _start(mean: np.ndarray, project: np.ndarray, k: int, ridge: float) -> Mixture:
+    """Round components at quantiles of the principal directions, the widest first: a bit of a component's number each."""
+    r, bits, number = project.shape[1], (k - 1).bit_length(), np.arange(k)
+    centre = np.zeros((k, r))
+    for i in range(min(r, bits)):
+        own = range(i, bits, r)
+        u = sum((number >> b & 1) / 2 ** (j + 1) for j, b in enumerate(own)) + 1 / 2 ** (len(own) + 1)
+        centre[:, i] = [NormalDist().inv_cdf(x) for x in u]
+    return Mixture(mean, project, np.full(k, 1 / k), centre, np.repeat(np.eye(r)[None], k, 0), ridge)
+
+
+def _total(vectors: Vectors, model: object, of: Callable[[object, np.ndarray], np.ndarray], block: int = 8_192) -> np.ndarray:
+    """The sum over all vectors of ``of(model, x)``, an array for the rows ``x``; Spark adds up ``block`` numbers at a time."""
+    share = vectors.rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = None
+        for b in batches:
+            for a in range(0, len(b), 2_000):
+                s = of(share.value, matrix(b["vec"].iloc[a : a + 2_000]))
+                total = s if total is None else np.add(total, s, out=total)
+        if total is not None:
+            for a in range(0, len(total), block):
+                yield pd.DataFrame({"block": [a // block], "v": [total[a : a + block].tobytes()]})
+
+    def add(p: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"block": p["block"].iloc[:1], "v": [sum(np.frombuffer(v) for v in p["v"]).tobytes()]})
+
+    got = vectors.rows.select("vec").mapInPandas(run, "block int, v binary").groupBy("block").applyInPandas(add, "block int, v binary").toPandas().sort_values("block")
+    share.unpersist()
+    return np.concatenate([np.frombuffer(v) for v in got["v"]])
+
+
+def _mixture_statistics(tried: list[Mixture], x: np.ndarray) -> np.ndarray:
+    z = tried[0].features(x)
+    return np.concatenate([m.statistics(z) for m in tried])
+
+
+def _component_sums(m: Mixture, x: np.ndarray) -> np.ndarray:
+    main = m.densities(m.features(x)).argmax(1)
+    total = np.zeros((len(m.weight), x.shape[1]))
+    np.add.at(total, main, x)
+    return np.concatenate([np.bincount(main, minlength=len(m.weight)), total.ravel()])
+
+
+def _cell_statistics(covers: tuple[Cells, ...], x: np.ndarray) -> np.ndarray:
+    some, total = max(1, 4_000_000 // max(len(c.weight) for c in covers)), 0.0
+    for a in range(0, len(x), some):
+        total = total + np.concatenate([c.statistics(x[a : a + some]) for c in covers])
+    return total
+
+
+def _steps(vectors: Vectors, tried: list[Mixture], steps: int) -> list[Mixture]:
+    """Each mixture after steps of expectation-maximisation over all vectors, of which all of them share the scans."""
+    for _ in range(steps if tried else 0):
+        tried = [m.updated(s) for m, s in zip(tried, _split(tried, _total(vectors, tried, _mixture_statistics)))]
+    return tried
+
+
+def _split(tried: list[Mixture], s: np.ndarray) -> list[np.ndarray]:
+    long = [m.weight.size + m.centre.size + m.cov.size + 2 for m in tried]
+    return np.split(s, np.cumsum(long)[:-1])
+
+
+def _cells(vectors: Vectors, m: Mixture, per_cell: int, covers: int, seed: int, steps: int = 4) -> tuple[Cells, ...]:
+    """Spherical mixtures of one variance, of about a cell for ``per_cell`` vectors, ``covers`` times.
+
+    Means start from the vectors that a hash of their ids picks, one of ``per_cell`` (of equal ones one), and in a
+    component of ``m`` without any from the mean of all its vectors. They are then moved by expectation-maximisation over
+    all vectors, responsibilities and all.
     """
-    d = x.shape[1]
-    start = [(k, rows, min(len(rows), max(1, int(np.ceil(size / per_cell))))) for k, size in enumerate(sizes) if len(rows := x[main == k])]
-    centres = {k: rows[rng.choice(len(rows), n, replace=False)] for k, rows, n in start}
-    weights = {k: np.full(n, -np.log(n)) for k, _, n in start}
-    variance = 0.5 / d
+    k, d = len(m.weight), vectors.dim
+    s = _total(vectors, m, _component_sums)
+    size, total = s[:k], s[k:].reshape(k, d)
+    out = []
+    for cover in range(covers):
+        got = vectors.rows.where(F.pmod(F.xxhash64(F.lit(seed), F.lit(cover), "id"), F.lit(per_cell)) == 0).select("vec").distinct().toPandas()
+        x = matrix(got["vec"]) if len(got) else np.zeros((0, d))
+        lone = total[(size > 0) & (np.bincount(m.densities(m.features(x)).argmax(1), minlength=k) == 0)]
+        x = np.concatenate([x, lone / np.linalg.norm(lone, axis=1, keepdims=True).clip(1e-9)])
+        out.append(Cells(x[np.lexsort(x.T)], np.full(len(x), -np.log(len(x))), 0.5 / d))
     for _ in range(steps):
-        far = n_rows = 0.0
-        for k, rows, n in start:
-            total, mass = np.zeros_like(centres[k]), np.zeros(n)
-            for a in range(0, len(rows), 2_000):
-                p = rows[a : a + 2_000]
-                near = p @ centres[k].T  # of unit vectors, half the squared distance is 1 less this
-                r = near / variance + weights[k]
-                r = np.exp(r - r.max(1, keepdims=True))
-                r /= r.sum(1, keepdims=True)
-                total += r.T @ p
-                mass += r.sum(0)
-                far += float((r * (2 - 2 * near)).sum())
-            n_rows += len(rows)
-            long = np.linalg.norm(total, axis=1, keepdims=True)
-            centres[k] = np.where(long > 1e-9, total / long.clip(1e-9), centres[k])
-            weights[k] = np.log((mass + 1) / (mass + 1).sum())
-        variance = max(far / max(n_rows, 1) / d, 1e-3 / d)
-    if not start:
-        return Cells(np.zeros((0, d)), np.zeros(0, np.int64), np.zeros(0), variance)
-    return Cells(np.concatenate([centres[k] for k, *_ in start]), np.repeat([k for k, *_ in start], [n for *_, n in start]), np.concatenate([weights[k] for k, *_ in start]), variance)
-
-
-def sample_size(n: int, per_cell: int, least: int = 32_000, most: int = 1_000_000) -> int:
-    """Vectors from which cells are set up: four a cell, within bounds."""
-    return int(np.clip(4 * n / per_cell, least, most))
+        s = np.split(_total(vectors, out, _cell_statistics), np.cumsum([c.centre.size + c.weight.size for c in out])[:-1])
+        out = [c.moved(own) for c, own in zip(out, s)]
+    return tuple(out)
 
 
 def fit(
-    vectors: Vectors, reduced: int = 32, components: tuple[int, ...] = (2, 4, 8, 16, 32), sample_rows: int | None = None, fit_rows: int = 8_000, steps: int = 8, passes: int = 2, ridge: float = 0.05, per_cell: int = 100, covers: int = 2, seed: int = 20260420
+    vectors: Vectors, reduced: int = 32, components: tuple[int, ...] = (2, 4, 8, 16, 32), steps: int = 8, passes: int = 2, ridge: float = 0.05, per_cell: int | None = None, covers: int = 2, seed: int = 20260420
 ) -> Mixture:
     """Expectation-maximisation with regularised covariances; the number of components by BIC.
 
-    Features are standardised and reduced by the moments of all vectors. Candidates are compared on
-    ``fit_rows`` vectors of a sample of ``sample_rows``, fixed by hashes of their numbers (:func:`sample_size`: four
-    vectors a cell, a million at most); the chosen mixture then takes ``passes`` steps over all vectors, of which Spark
-    adds up the statistics. Within each component a second, spherical mixture of cells is fitted to the sample, a cell
-    for ``per_cell`` vectors, so that the vectors of a cell don't become more as the collection grows, up to 25 million
-    of them. Cells are drawn ``covers`` times, so that a link that one set of cells cuts is left whole by another.
+    Features are standardised and reduced by the moments of all vectors. All candidates start from quantiles of the
+    principal directions, take ``steps`` steps over all vectors and are compared by BIC over all of them; the chosen
+    mixture takes ``passes`` more. Spark adds up the statistics of a step, for all candidates in one scan. A second,
+    spherical mixture of cells that start in its components is fitted to all vectors too, a cell for about ``per_cell``
+    (100, for more than 20,000 vectors the root of half of them: work with cells and work within cells then both grow
+    as the power 1.5 of the vectors). Cells are drawn ``covers`` times, so that a link that one set of cells cuts is
+    left whole by another.
     """
-    rows, rng = vectors.rows, np.random.default_rng(seed)
     r = min(reduced, vectors.dim)
     scale = 1 / np.sqrt(np.diag(vectors.cov).clip(1e-12))
     value, vector = np.linalg.eigh(vectors.cov * np.outer(scale, scale))
     best = np.argsort(-value)[:r]
     project = scale[:, None] * vector[:, best] / np.sqrt(value[best].clip(1e-9))
-    got = rows.select("vid", "vec", F.xxhash64(F.lit(seed), "vid").alias("h")).orderBy("h", "vid").limit(sample_rows or sample_size(vectors.n, per_cell)).select("vec").toPandas()
-    if not len(got):
-        return Mixture(vectors.mean, project, np.ones(1), np.zeros((1, r)), np.eye(r)[None], ridge)
-    x = matrix(got["vec"])
-    z = (x - vectors.mean) @ project
-    some = z[:fit_rows]
-    chosen, least = _start(vectors.mean, project, some, 1, ridge, rng), np.inf
-    for k in components:
-        if k * 2 * (r + 1) > len(some):  # too few rows for so many shapes
-            continue
-        m = _start(vectors.mean, project, some, k, ridge, rng)
-        for _ in range(steps):
-            m = m.updated(m.statistics(some))
-        bic = m.criterion(float(m.statistics(some)[-2]), len(some))
-        if bic < least:
-            chosen, least = m, bic
-    for _ in range(passes):
-        share = rows.sparkSession.sparkContext.broadcast(chosen)
-
-        def add(batches: Iterator[pd.DataFrame], share=share) -> Iterator[pd.DataFrame]:
-            total = None
-            for b in batches:
-                if len(b):
-                    s = share.value.statistics(share.value.features(matrix(b["vec"])))
-                    total = s if total is None else total + s
-            if total is not None:
-                yield pd.DataFrame({"k": np.arange(len(total), dtype=np.int32), "v": total})
-
-        got = rows.select("vec").mapInPandas(add, "k int, v double").groupBy("k").agg(F.sum("v").alias("v")).toPandas().sort_values("k")
-        chosen = chosen.updated(got["v"].to_numpy())
-    main = chosen.densities(z).argmax(1)
-    chosen.covers = tuple(_cells(x, main, chosen.weight * vectors.n, per_cell, rng) for _ in range(covers))
+    chosen = _start(vectors.mean, project, 1, ridge)
+    if not vectors.n:
+        return chosen
+    # fewer rows than these are too few for so many shapes
+    tried = _steps(vectors, [_start(vectors.mean, project, k, ridge) for k in components if k * 2 * (r + 1) <= vectors.n], steps)
+    if tried:
+        s = _split(tried, _total(vectors, tried, _mixture_statistics))
+        chosen = min(zip(tried, s), key=lambda t: t[0].criterion(float(t[1][-2]), vectors.n))[0]
+    chosen = _steps(vectors, [chosen], passes)[0]
+    chosen.covers = _cells(vectors, chosen, per_cell or max(100, isqrt(vectors.n // 2)), covers, seed)
     return chosen
 
 
-def assign(vectors: Vectors, mixture: Mixture, margin: float = 24.0, cell_margin: float = 8.0) -> DataFrame:
+def assign(vectors: Vectors, mixture: Mixture, cell_margin: float = 8.0) -> DataFrame:
     """``vid``, ``part``, ``component``, ``main``, ``density``, ``vec``: the cells in which a vector is compared.
 
-    A vector belongs to its likeliest component and to each whose log density is within ``margin`` of it; of
-    the cells of these, in each cover, to the likeliest and to each whose log density is within ``cell_margin`` of that
+    A vector belongs, in each cover, to its likeliest cell and to each whose log density is within ``cell_margin`` of that
     one: to any number of them. So links across a border have a cell in common. ``main`` marks the likeliest cell, once a
-    vector; its ``component`` is the likeliest and ``density`` the log density of the mixture there.
+    vector; its ``component`` is the likeliest of the mixture and ``density`` the log density there.
     """
     share = vectors.rows.sparkSession.sparkContext.broadcast(mixture)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = share.value
-        covers = [(c, (c.centre.T / c.variance).astype(np.float32), c.weight.astype(np.float32)) for c in m.covers]
         for b in batches:
             for a in range(0, len(b), 500):
                 p = b.iloc[a : a + 500]
                 x = matrix(p["vec"])
                 d = m.densities(m.features(x))
-                top, likely = d.max(1), d >= d.max(1)[:, None] - margin
-                before = 0
-                for cells, centre, weight in covers:
-                    s = x.astype(np.float32) @ centre + weight
-                    s[~likely[:, cells.of]] = -np.inf
+                top, before = d.max(1), 0
+                for cells in m.covers:
+                    s = cells.densities(x)
                     own = s.argmax(1)
                     i, k = np.nonzero(s >= s.max(1)[:, None] - cell_margin)
                     yield pd.DataFrame({"vid": p["vid"].to_numpy()[i], "part": (k + before).astype(np.int32), "component": d.argmax(1)[i].astype(np.int32), "main": (own[i] == k) & (before == 0), "density": top[i], "vec": p["vec"].to_numpy()[i]})
-                    before += len(cells.of)
+                    before += len(cells.weight)
 
     return vectors.rows.select("vid", "vec").mapInPandas(run, "vid long, part int, component int, main boolean, density double, vec array<float>")
 

@@ -239,6 +239,21 @@ def test_clusters_equal_brute_force(spark):
     assert clusters.clusters(none)[0].count() == 0
 
 
+def test_the_mixture_is_that_of_all_vectors(spark):
+    n, rng = 34_000, np.random.default_rng(5)
+    x = (np.repeat(np.eye(6)[:2], n // 2, axis=0) + 0.3 * rng.standard_normal((n, 6))).astype(np.float32)
+    v, other = (vectors.load(spark.createDataFrame(list(zip(i.tolist(), x.tolist())), "id long, v array<float>"), "id", "v", 6) for i in (np.arange(n), rng.permutation(n)))
+    # nothing depends on which ids the vectors have
+    a, b = clusters.fit(v, components=(2, 4)), clusters.fit(other, components=(2, 4))
+    assert len(a.weight) == len(b.weight) > 1
+    assert all(np.allclose(getattr(a, k), getattr(b, k), atol=1e-6) for k in ("weight", "centre", "cov"))
+    # a single cell lies at the mean of all vectors
+    unit = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    mean = unit.mean(0) / np.linalg.norm(unit.mean(0))
+    for cells in clusters.fit(v, components=(), per_cell=10**9).covers:
+        assert np.allclose(cells.centre, mean[None], atol=1e-5)
+
+
 def test_forest_of_dense_rows():
     rng = np.random.default_rng(1)
     x = np.repeat(np.eye(8)[:3], [900, 400, 1], axis=0) + 0.05 * rng.standard_normal((1301, 8))
